@@ -348,8 +348,8 @@ GROUP BY p.product_id, p.region_id, p.year_month, p.mi
 CTES["t_flags"] = """
 SELECT *, CASE WHEN mom_units_growth_pct < -0.25 THEN 1 ELSE 0 END AS risk_factor_sales_drop,
        CASE WHEN customer_count_growth_pct < -0.25 THEN 1 ELSE 0 END AS risk_factor_customer_drop,
-       CASE WHEN volatility_3m > 0.45 THEN 1 ELSE 0 END AS risk_factor_volatility,
-       CASE WHEN units_sold < e * 0.75 AND e > 0 THEN 1 ELSE 0 END AS risk_factor_under_trend
+       CASE WHEN round(volatility_3m, 9) > 0.45 THEN 1 ELSE 0 END AS risk_factor_volatility,
+       CASE WHEN units_sold < round(e * 0.75, 9) AND e > 0 THEN 1 ELSE 0 END AS risk_factor_under_trend
 FROM (SELECT f.*, h.* EXCLUDE (product_id, region_id, year_month),
              rolling_units_std_3m / nullif(rolling_units_mean_3m, 0) AS volatility_3m,
              (units_sold - units_lag_1m) / nullif(units_lag_1m, 0) AS mom_units_growth_pct,
@@ -367,8 +367,8 @@ FROM (SELECT *, future_sales_drop_trigger + future_customer_drop_trigger + futur
       FROM (SELECT f.*, n.units_sold AS future_units, n.mi IS NULL AS last_row,
                    CASE WHEN n.units_sold < f.units_sold * 0.75 THEN 1 ELSE 0 END AS future_sales_drop_trigger,
                    CASE WHEN n.unique_customers < f.unique_customers * 0.75 THEN 1 ELSE 0 END AS future_customer_drop_trigger,
-                   CASE WHEN n.volatility_3m > 0.50 THEN 1 ELSE 0 END AS future_volatility_trigger,
-                   CASE WHEN n.units_sold < n.e * 0.72 AND n.e > 0 THEN 1 ELSE 0 END AS future_under_trend_trigger,
+                   CASE WHEN round(n.volatility_3m, 9) > 0.50 THEN 1 ELSE 0 END AS future_volatility_trigger,
+                   CASE WHEN n.units_sold < round(n.e * 0.72, 9) AND n.e > 0 THEN 1 ELSE 0 END AS future_under_trend_trigger,
                    coalesce(n.stockout_flag, 0) AS future_stockout_trigger
             FROM t_flags f LEFT JOIN t_flags n
               ON n.product_id = f.product_id AND n.region_id = f.region_id AND n.mi = f.mi + 1))

@@ -460,7 +460,7 @@ def drop_missing(star):
 )
 def guarded_flag(star):
     return labelled(star).select(
-        "product_id", "region_id", "year_month", fx.flag(F.col("volatility_3m") > 0.45).alias("risk_factor_volatility")
+        "product_id", "region_id", "year_month", fx.flag(F.round("volatility_3m", 9) > 0.45).alias("risk_factor_volatility")
     )
 
 

@@ -18,7 +18,8 @@ def exact_percentiles(
     Pass 1 takes a mergeable approximate quantile a little below and above each
     point; its rank error is bounded, so the wanted value lies between the two.
     Pass 2 counts what lies below that bracket and tallies only the values
-    inside it, which is a tiny share of the rows.
+    inside it, which is a tiny share of the rows. The nearest values outside
+    the bracket are kept as well, for interpolation across its edge.
     """
     keys = list(keys)
     targets = [(c, p) for c in columns for p in points]
@@ -40,7 +41,16 @@ def exact_percentiles(
 
     below = joined.groupBy(*keys).agg(
         F.first("_b").alias("_b"),
-        *[F.count_if(F.col(c) < F.col(f"_b.lo{i}")).alias(f"below{i}") for i, (c, _) in enumerate(targets)],
+        *[
+            e
+            for i, (c, _) in enumerate(targets)
+            for e in (
+                F.count_if(F.col(c) < F.col(f"_b.lo{i}")).alias(f"below{i}"),
+                F.count_if(F.col(c) <= F.col(f"_b.hi{i}")).alias(f"upto{i}"),
+                F.max(F.when(F.col(c) < F.col(f"_b.lo{i}"), F.col(c))).alias(f"prev{i}"),
+                F.min(F.when(F.col(c) > F.col(f"_b.hi{i}"), F.col(c))).alias(f"next{i}"),
+            )
+        ],
     )
     below_long = below.select(
         *keys,
@@ -49,7 +59,7 @@ def exact_percentiles(
                 *[
                     F.struct(
                         F.lit(i).alias("target"),
-                        F.col(f"below{i}").alias("below"),
+                        *[F.col(f"{name}{i}").alias(name) for name in ("below", "upto", "prev", "next")],
                         F.col(f"_b.n_{c}").alias("n"),
                     )
                     for i, (c, _) in enumerate(targets)
@@ -86,7 +96,11 @@ def exact_percentiles(
 
     def value_at(rank):
         hit = (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("ties"))
-        return F.max(F.when(hit, F.col("value")))
+        return F.coalesce(
+            F.max(F.when(hit, F.col("value"))),
+            F.max(F.when(rank >= F.col("upto"), F.col("next"))),
+            F.max(F.when(rank < F.col("below"), F.col("prev"))),
+        )
 
     picked = ranked.groupBy(*keys, "target").agg(
         value_at(F.floor("_h")).alias("_lo"),

@@ -42,6 +42,11 @@ def expected_units() -> Column:
     return F.col("rolling_units_mean_3m") + F.coalesce(F.col("trend_slope_3m"), F.lit(0.0))
 
 
+def settled(c: Column | str) -> Column:
+    """Nine decimals: a ratio that equals a limit must not pass it by summation noise."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+
+
 def risk_flags(panel: DataFrame, drop: float = -0.25, vol: float = 0.45, under: float = 0.75) -> DataFrame:
     """Current-month risk factors; unknown comparisons are 0."""
     expected = expected_units()
@@ -49,8 +54,8 @@ def risk_flags(panel: DataFrame, drop: float = -0.25, vol: float = 0.45, under:
         {
             "risk_factor_sales_drop": flag(F.col("mom_units_growth_pct") < drop),
             "risk_factor_customer_drop": flag(F.col("customer_count_growth_pct") < drop),
-            "risk_factor_volatility": flag(F.col("volatility_3m") > vol),
-            "risk_factor_under_trend": flag((F.col("units_sold") < expected * under) & (expected > 0)),
+            "risk_factor_volatility": flag(settled("volatility_3m") > vol),
+            "risk_factor_under_trend": flag((F.col("units_sold") < settled(expected * under)) & (expected > 0)),
         }
     )
 
@@ -75,8 +80,8 @@ def future_triggers(
         {
             "future_sales_drop_trigger": flag(nxt < F.col("units_sold") * ratio),
             "future_customer_drop_trigger": flag(F.col("future_customers") < F.col("unique_customers") * ratio),
-            "future_volatility_trigger": flag(F.col("future_volatility") > vol),
-            "future_under_trend_trigger": flag((nxt < exp * under) & (exp > 0)),
+            "future_volatility_trigger": flag(settled("future_volatility") > vol),
+            "future_under_trend_trigger": flag((nxt < settled(exp * under)) & (exp > 0)),
             "future_stockout_trigger": F.coalesce(F.col("future_stockout").cast("int"), F.lit(0)),
         }
     )
