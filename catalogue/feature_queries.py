@@ -328,13 +328,13 @@ def commercial_pressure(star):
 @query(
     "fe19_crm_index",
     """SELECT year_month, region_id, n AS crm_activity_count, minutes AS crm_activity_minutes, coalesce(health, 65) AS average_customer_health,
-              round(least(greatest(CASE WHEN m = 0 THEN 100 ELSE 100 * n / m END, 0), 250), 2) AS regional_crm_activity_index
+              CAST(round_even(CAST(least(greatest(CASE WHEN m = 0 THEN 100 ELSE 100 * n / m END, 0), 250) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS regional_crm_activity_index
        FROM (SELECT g.year_month, g.region_id, coalesce(c.crm_activity_count, 0) AS n, coalesce(c.crm_activity_minutes, 0) AS minutes,
                     c.avg_customer_health_score AS health,
                     avg(coalesce(c.crm_activity_count, 0)) OVER (PARTITION BY g.year_month) AS m
              FROM (SELECT year_month, region_id FROM t_months CROSS JOIN t_regions) g
              LEFT JOIN t_crm_month c ON c.year_month = g.year_month AND c.region_id = g.region_id)""",
-    rounded="average_customer_health regional_crm_activity_index", digits=1,
+    rounded="average_customer_health regional_crm_activity_index",
 )
 def crm_index(star):
     return mk.crm_index(star.crm, months(star.bounds), star.regions)
@@ -344,14 +344,14 @@ def crm_index(star):
     "fe20_opportunity_interest_index",
     """SELECT year_month, product_category, region_id, n AS opportunity_count, coalesce(v, 0) AS weighted_pipeline_eur,
               coalesce(w, 0) AS average_win_probability,
-              round(least(greatest(coalesce(100 * n / nullif(m, 0), 0), 0), 300), 2) AS pipeline_interest_index
+              CAST(round_even(CAST(least(greatest(coalesce(100 * n / nullif(m, 0), 0), 0), 300) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS pipeline_interest_index
        FROM (SELECT g.*, coalesce(c.pipeline_opportunities, 0) AS n, c.weighted_pipeline_eur AS v, c.avg_win_probability AS w,
                     avg(coalesce(c.pipeline_opportunities, 0)) OVER (PARTITION BY g.year_month) AS m
              FROM (SELECT year_month, product_category, region_id FROM t_months CROSS JOIN t_regions
                    CROSS JOIN (SELECT DISTINCT product_category FROM t_products)) g
              LEFT JOIN t_opps_month c ON c.year_month = g.year_month AND c.region_id = g.region_id
                AND c.product_category = g.product_category)""",
-    rounded="weighted_pipeline_eur average_win_probability pipeline_interest_index", digits=1,
+    rounded="weighted_pipeline_eur average_win_probability pipeline_interest_index",
 )
 def opportunity_interest_index(star):
     return mk.opportunity_index(star.opportunities, months(star.bounds), star.products, star.regions)
@@ -372,13 +372,13 @@ _GRID = """(SELECT year_month, product_category, region_id FROM t_months CROSS J
     "fe21_supply_index",
     f"""SELECT g.year_month, g.product_category, g.region_id, coalesce(r, 0) AS stockout_rate, coalesce(a, 0.5) AS average_available_stock_ratio,
                CAST(r IS NOT NULL AS INTEGER) AS inventory_observed_flag,
-               least(greatest(25 + 65 * coalesce(r, 0) + 35 * (1 - coalesce(a, 0.5)), 5), 100) AS supply_pressure_index
+               CAST(round_even(CAST(least(greatest(25 + 65 * coalesce(r, 0) + 35 * (1 - coalesce(a, 0.5)), 5), 100) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS supply_pressure_index
         FROM {_GRID} LEFT JOIN (
           SELECT year_month, product_category, region_id, avg(CAST(stockout AS INTEGER)) AS r,
                  avg(ending_stock_units / nullif(opening_stock_units + production_units, 0)) AS a
           FROM t_inventory JOIN (SELECT product_id, product_category FROM t_products) USING (product_id) GROUP BY 1, 2, 3) i
         USING (year_month, product_category, region_id)""",
-    rounded="stockout_rate average_available_stock_ratio supply_pressure_index", digits=1,
+    rounded="stockout_rate average_available_stock_ratio supply_pressure_index",
 )
 def supply_index(star):
     grid, inventory, _ = _grid_inventory(star)

@@ -110,9 +110,9 @@ def growth(star):
 @query(
     "wn09_clipped_pct_change",
     """SELECT p.product_id, p.region_id, p.year_month,
-              round(least(greatest(coalesce((p.units_sold - w.units_sold) / nullif(w.units_sold, 0) * 100, 0), -50), 50), 2) AS pct
+              CAST(round_even(CAST(least(greatest(coalesce((p.units_sold - w.units_sold) / nullif(w.units_sold, 0) * 100, 0), -50), 50) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS pct
        FROM t_panel p LEFT JOIN t_panel w ON w.product_id = p.product_id AND w.region_id = p.region_id AND w.mi = p.mi - 1""",
-    rounded="pct", digits=1,
+    rounded="pct",
 )
 def clipped_pct_change(star):
     return panel(star).select(*KEYS, W.History().pct_change("units_sold").alias("pct"))
@@ -154,9 +154,9 @@ def average_rank_share(star):
 
 @query(
     "wn13_index_to_mean",
-    """SELECT product_id, region_id, year_month, round_even(least(greatest(coalesce(100.0 * order_count
-              / nullif(avg(order_count) OVER (PARTITION BY year_month), 0), 0), 0), 250), 2) AS idx FROM t_panel""",
-    rounded="idx", digits=1,
+    """SELECT product_id, region_id, year_month, CAST(round_even(CAST(least(greatest(coalesce(100.0 * order_count
+              / nullif(avg(order_count) OVER (PARTITION BY year_month), 0), 0), 0), 250) AS DECIMAL(18, 9)), 2) AS DOUBLE) AS idx FROM t_panel""",
+    rounded="idx",
 )
 def index_to_mean(star):
     return W.index_to_mean(panel(star).select(*KEYS, "order_count"), "order_count", ["year_month"], "idx", 250.0).drop("order_count")

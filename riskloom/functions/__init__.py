@@ -32,6 +32,7 @@ from riskloom.functions.scalars import (
     finite,
     flag,
     flag_or_null,
+    half_even,
     in_range,
     map_values,
     row_min,

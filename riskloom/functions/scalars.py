@@ -100,3 +100,8 @@ def finite(c: Column | str) -> Column:
     src = _col(c)
     bad = F.isnan(src) | src.isin(float("inf"), float("-inf"))
     return F.when(~bad, src)
+
+
+def half_even(c: Column | str, digits: int = 2) -> Column:
+    """Half-even rounding of a computed ratio; noise beyond nine decimals cannot decide a tie."""
+    return F.bround(F.round(_col(c), 9), digits)

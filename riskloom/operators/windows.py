@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from riskloom.functions.dates import month_index
-from riskloom.functions.scalars import clip, safe_divide
+from riskloom.functions.scalars import clip, half_even, safe_divide
 
 HISTORY_KEYS = ("product_id", "region_id")
 PERIOD = "year_month"
@@ -64,7 +64,7 @@ class History:
 
     def pct_change(self, c: Column | str, bound: float = 50.0, digits: int = 2) -> Column:
         """Percent change, first value 0, clipped to ±bound, rounded half to even."""
-        return F.bround(clip(F.coalesce(self.growth(c) * 100, F.lit(0.0)), -bound, bound), digits)
+        return half_even(clip(F.coalesce(self.growth(c) * 100, F.lit(0.0)), -bound, bound), digits)
 
     def is_last(self) -> Column:
         """True on the final row of each series."""
@@ -102,7 +102,7 @@ def index_to_mean(
     joined = df.join(means, list(by), "left")
     ratio = safe_divide(F.col(c) * 100, "_group_mean")
     filled = F.coalesce(F.when(F.col("_group_mean") == 0, F.lit(neutral)), ratio, F.lit(0.0))
-    return joined.withColumn(out, F.bround(clip(filled, 0.0, hi), 2)).drop("_group_mean")
+    return joined.withColumn(out, half_even(clip(filled, 0.0, hi), 2)).drop("_group_mean")
 
 
 def minmax_log(df: DataFrame, c: str, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.cleaning import parse_bool
-from riskloom.functions.scalars import clip, safe_divide, select_case
+from riskloom.functions.scalars import clip, half_even, safe_divide, select_case
 from riskloom.operators.joins import spread_over
 from riskloom.operators.windows import History, index_to_mean
 from riskloom.plans.monthly import crm_region_month
@@ -69,7 +69,7 @@ def supply_index(inventory: DataFrame, grid: DataFrame) -> DataFrame:
     )
     filled = joined.fillna(0.0, subset=["stockout_rate"]).fillna(0.5, subset=["average_available_stock_ratio"])
     raw = 25 + F.col("stockout_rate") * 65 + (1 - F.col("average_available_stock_ratio")) * 35
-    return filled.withColumn("supply_pressure_index", F.bround(clip(raw, 5.0, 100.0), 2))
+    return filled.withColumn("supply_pressure_index", half_even(clip(raw, 5.0, 100.0), 2))
 
 
 def sales_driver(sales: DataFrame) -> DataFrame:
