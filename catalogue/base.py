@@ -7,8 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalogue.model_sql import with_ctes
+from catalogue.model_sql import NUMERIC, with_ctes
 from riskloom.plans.features import all_features
+from riskloom.plans.history import TARGET
+from riskloom.plans.learning import arg_max_label, fit_preparation, time_split, transform, vectorised
 from riskloom.plans.monthly import customer_product_monthly
 from riskloom.session import materialize
 from riskloom.sources.star import DISTRIBUTOR, Star
@@ -88,3 +90,67 @@ def customer_months(star: Star) -> DataFrame:
 
 def features(star: Star) -> DataFrame:
     return _stage(star, "features", lambda: all_features(labelled(star), customer_months(star), DISTRIBUTOR))
+
+
+def predictions(star: Star) -> DataFrame:
+    """Class probabilities by a fixed rule on the pressure score, with keys and outcome.
+
+    A deterministic stand-in for a fitted model, so that everything computed from
+    probabilities can be checked in SQL.
+    """
+    def build():
+        score = F.least(F.lit(100), F.floor(F.round(F.col("commercial_pressure_score") * 1.1, 6))).cast("int")
+        s2 = F.col("s2")
+        return (
+            features(star)
+            .withColumn("s2", score)
+            .select(
+                "product_id", "region_id", "year_month", "target_month", F.col(TARGET).alias("actual_label"),
+                "revenue_at_risk_proxy", "revenue", "units_sold", "s2", (s2 / 100.0).alias("p2"),
+                ((100 - s2) * (20 + s2 % 60) / 10000.0).alias("p1"),
+            )
+            .withColumn("p0", 1 - F.col("p2") - F.col("p1"))
+            .withColumn("predicted_label", arg_max_label())
+            .drop("s2")
+        )
+
+    return _stage(star, "predictions", build)
+
+
+def split_features(star: Star) -> DataFrame:
+    """Feature table with its chronological split."""
+    return time_split(features(star))
+
+
+def prepared(star: Star) -> DataFrame:
+    """Imputed and standardised numeric features fitted on the training months."""
+    def build():
+        rows = split_features(star)
+        state = fit_preparation(rows.where("split = 'train'"), NUMERIC, [])
+        return transform(rows, state, ["product_id", "region_id", "year_month", "target_month", "split", TARGET])
+
+    return _stage(star, "prepared", build)
+
+
+# Features of the fitted-model queries.
+MODEL_NUMERIC = (
+    "units_sold", "revenue", "unique_customers", "avg_discount_pct", "order_count", "active_sales_reps", "gross_margin_pct",
+    "units_lag_1m", "units_lag_3m", "revenue_lag_1m", "rolling_units_mean_3m", "rolling_units_mean_6m", "rolling_units_std_3m",
+    "volatility_3m", "mom_units_growth_pct", "customer_count_growth_pct", "trend_slope_3m", "trend_slope_6m", "stockout_flag",
+    "backorder_units", "market_demand_index", "competitor_pressure_index", "supply_pressure_score", "commercial_pressure_score",
+    "product_unit_share_category_region", "revenue_percentile_category_region", "inventory_months_cover", "return_rate_units",
+)
+MODEL_CATEGORICAL = ("lifecycle_stage", "campaign_channel", "dominant_rep_seniority")
+
+
+def matrix(star: Star) -> tuple[DataFrame, list[str]]:
+    """Vector matrix of all splits and its feature names."""
+    rows = split_features(star)
+    state = fit_preparation(rows.where("split = 'train'"), MODEL_NUMERIC, MODEL_CATEGORICAL)
+    keep = ["product_id", "region_id", "year_month", "target_month", "split", TARGET]
+
+    def build():
+        flat = transform(rows, state, keep, prefix="f_")
+        return vectorised(flat, [f"f_{n}" for n in state.feature_names], keep)
+
+    return _stage(star, "matrix", build), state.feature_names

@@ -416,7 +416,7 @@ FROM (SELECT product_id, region_id, year_month, target_month, next_month_risk_la
              revenue_at_risk_proxy, revenue, units_sold,
              p2, (100 - s2) * (20 + s2 % 60) / 10000.0 AS p1, 1 - p2 - (100 - s2) * (20 + s2 % 60) / 10000.0 AS p0
       FROM (SELECT *, s2 / 100.0 AS p2
-            FROM (SELECT *, CAST(least(100, floor(commercial_pressure_score * 1.1)) AS INTEGER) AS s2 FROM t_pressure)))
+            FROM (SELECT *, CAST(least(100, floor(round(commercial_pressure_score * 1.1, 6))) AS INTEGER) AS s2 FROM t_pressure)))
 """
 
 CTES["t_split"] = """
@@ -431,6 +431,29 @@ FROM t_pressure l LEFT JOIN (
   FROM (SELECT DISTINCT target_month FROM t_pressure WHERE next_month_risk_label IS NOT NULL) m) USING (target_month)
 """
 
+# Numeric features used by the closed-form learning queries.
+NUMERIC = ("units_sold", "volatility_3m", "mom_units_growth_pct", "avg_discount_pct")
+
+CTES["t_fit"] = f"""
+SELECT {', '.join(f"any_value(m_{c}) AS m_{c}, avg(coalesce({c}, m_{c})) AS a_{c}, coalesce(nullif(stddev_samp(coalesce({c}, m_{c})), 0), 1) AS s_{c}" for c in NUMERIC)}
+FROM t_split CROSS JOIN (SELECT {', '.join(f"coalesce(median({c}), 0) AS m_{c}" for c in NUMERIC)} FROM t_split WHERE split = 'train')
+WHERE split = 'train'
+"""
+
+CTES["t_prep"] = f"""
+SELECT product_id, region_id, year_month, target_month, split, next_month_risk_label,
+       {', '.join(f"(coalesce({c}, m_{c}) - a_{c}) / s_{c} AS {c}" for c in NUMERIC)}
+FROM t_split CROSS JOIN t_fit
+"""
+
+CTES["t_class"] = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, next_month_risk_label AS label, count(*) AS n, avg({c}) AS mean, var_pop({c}) AS var,
+           (SELECT avg({c}) FROM t_prep WHERE split = 'train') AS grand,
+           (SELECT coalesce(nullif(stddev_pop({c}), 0), 1) FROM t_prep WHERE split = 'train') AS spread
+FROM t_prep WHERE split = 'train' GROUP BY next_month_risk_label"""
+    for c in NUMERIC
+)
+
 _NAME = re.compile(r"\bt_[a-z_]+\b")
 
 
@@ -447,5 +470,7 @@ def with_ctes(body: str) -> str:
     visit(body)
     if not needed:
         return body
+    if body.lstrip().upper().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     parts = [f"{name} AS MATERIALIZED ({sql.strip()})" for name, sql in CTES.items() if name in needed]
     return "WITH " + ",\n".join(parts) + "\n" + body

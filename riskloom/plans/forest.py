@@ -90,7 +90,8 @@ def permutation_importance(
     for i, f in enumerate(features):
         if only is not None and f not in only:
             continue
-        mixed = F.transform("_own", lambda x, j, i=i: F.when(j == i, F.get(F.col("_other"), F.lit(i))).otherwise(x))
+        swapped = F.array(F.get(F.col("_other"), F.lit(i)))
+        mixed = F.concat(F.slice("_own", 1, i), swapped, F.slice("_own", i + 2, len(features)))
         parts.append(macro_f1(paired.withColumn("features", array_to_vector(mixed)), f))
     scored = union_all(*parts).withColumn("baseline_macro_f1", baseline)
     return ranked_features(
@@ -109,7 +110,7 @@ def tree_nodes(model: RandomForestClassificationModel, path: str | None = None)
         F.col("treeID").alias("tree_id"),
         "id",
         F.when(F.col("leftChild") >= 0, F.col("split.featureIndex")).alias("feature"),
-        F.element_at("split.leftCategoriesOrThreshold", 1).alias("threshold"),
+        F.get(F.col("split.leftCategoriesOrThreshold"), F.lit(0)).alias("threshold"),
         F.col("leftChild").alias("left_id"),
         F.col("rightChild").alias("right_id"),
         *[(F.get(F.col("impurityStats"), F.lit(k)) / total).alias(f"share{k}") for k in RISK_LABELS],

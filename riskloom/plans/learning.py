@@ -242,7 +242,8 @@ def fit_preparation(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], unseen: bool = True
 ) -> Preparation:
     """Fit on training rows. Reads back one row per feature and per category level."""
-    nums = {r["feature"]: (r["median"], r["mean"], r["std"]) for r in numeric_state(train, numeric).collect()}
+    fitted = numeric_state(train, numeric).collect() if numeric else []
+    nums = {r["feature"]: (r["median"], r["mean"], r["std"]) for r in fitted}
     levels: dict[str, list[str]] = {c: [] for c in categorical}
     modes: dict[str, str] = {}
     if categorical:
