@@ -59,14 +59,14 @@ def typed_ingest(star):
 
 @query(
     "src05_bad_values",
-    """SELECT 'customer_id' AS column_name, count(*) AS bad_values, list(DISTINCT o_orderkey || '.5' ORDER BY o_orderkey || '.5')[1:5] AS examples
+    """SELECT 'customer_id' AS column_name, count(*) AS bad_values, array_to_string(list(DISTINCT o_orderkey || '.5' ORDER BY o_orderkey || '.5')[1:5], ' | ') AS examples
        FROM orders WHERE o_orderkey % 7 = 0
-       UNION ALL SELECT 'day', count(*), list(DISTINCT strftime(o_orderdate, '%d/%m/%Y') ORDER BY strftime(o_orderdate, '%d/%m/%Y'))[1:5]
+       UNION ALL SELECT 'day', count(*), array_to_string(list(DISTINCT strftime(o_orderdate, '%d/%m/%Y') ORDER BY strftime(o_orderdate, '%d/%m/%Y'))[1:5], ' | ')
        FROM orders WHERE o_orderkey % 5 = 0""",
 )
 def bad_values(star):
     _, bad = T.coerce_typed(_noisy_orders(star), _TYPES)
-    return bad
+    return bad.withColumn("examples", F.concat_ws(" | ", "examples"))
 
 
 _TYPES = {"o_orderkey": "bigint", "customer_id": "bigint", "price": "double", "day": "date", "even": "boolean"}
