@@ -8,12 +8,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue.model_sql import NUMERIC, with_ctes
-from riskloom.plans.features import all_features
 from riskloom.plans.history import TARGET
 from riskloom.plans.learning import arg_max_label, fit_preparation, time_split, transform, vectorised
 from riskloom.plans.monthly import customer_product_monthly
 from riskloom.session import materialize
-from riskloom.sources.star import DISTRIBUTOR, Star
+from riskloom.sources.star import Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,7 +88,7 @@ def customer_months(star: Star) -> DataFrame:
 
 
 def features(star: Star) -> DataFrame:
-    return _stage(star, "features", lambda: all_features(labelled(star), customer_months(star), DISTRIBUTOR))
+    return _stage(star, "features", lambda: written(star).features(panel(star), customer_months(star)))
 
 
 def predictions(star: Star) -> DataFrame:

@@ -183,28 +183,41 @@ MARKET_CHANGES = {
 }
 
 
-def market_changes(panel: DataFrame) -> DataFrame:
-    """Month-on-month change on the market grain, joined back to products.
+def market_change_table(panel: DataFrame, signals: DataFrame | None = None) -> DataFrame:
+    """Month-on-month market changes, one row per market grain and month.
 
     The panel repeats a market row for every product of the group, so rows are
-    reduced to one per market-month before the lag.
+    reduced to one per market-month before the lag. With ``signals`` given only
+    the keys are read from the panel.
     """
     grain = [*MARKET_GRAIN, "year_month"]
     values = list(dict.fromkeys(MARKET_CHANGES.values()))
+    if signals is None:
+        unique = panel.groupBy(*grain).agg(*[F.max(c).alias(c) for c in values])
+    else:
+        unique = panel.select(*grain).distinct().join(signals.select(*grain, *values), grain, "left")
     h = History(keys=MARKET_GRAIN)
-    unique = panel.groupBy(*grain).agg(*[F.max(c).alias(c) for c in values])
-    changes = unique.select(*grain, *[h.growth(src).alias(out) for out, src in MARKET_CHANGES.items()])
-    return panel.join(changes, grain, "left")
+    return unique.select(*grain, *[h.growth(src).alias(out) for out, src in MARKET_CHANGES.items()])
 
 
-def peer_benchmarks(panel: DataFrame, keys: Sequence[str] = PEER_KEYS) -> DataFrame:
-    """Category-region-month totals, shares, discount gap and two ranks.
+def market_changes(panel: DataFrame, signals: DataFrame | None = None) -> DataFrame:
+    """Panel with the changes of its market joined back."""
+    return panel.join(market_change_table(panel, signals), [*MARKET_GRAIN, "year_month"], "left")
+
+
+def peer_table(panel: DataFrame, keys: Sequence[str] = PEER_KEYS) -> DataFrame:
+    """Category-region-month totals, shares, discount gap and two ranks, one row per panel key.
 
-    Totals are aggregated and joined back; ranks use value-range splitting, so a
-    category holding a third of all products is still spread over tasks.
+    Works on the few columns it needs, so the wide panel is not shuffled by peer
+    group. Totals are aggregated and joined back; ranks use value-range
+    splitting, so a category holding a third of all products is still spread
+    over tasks.
     """
+    narrow = panel.select(
+        *dict.fromkeys([*PANEL_KEYS, *keys, "units_sold", "revenue", "unique_customers", "avg_discount_pct"])
+    )
     totals = join_back(
-        panel,
+        narrow,
         keys,
         {
             "category_region_units_2": F.sum("units_sold"),
@@ -214,23 +227,31 @@ def peer_benchmarks(panel: DataFrame, keys: Sequence[str] = PEER_KEYS) -> DataFr
             "category_region_product_count": F.count_distinct("product_id"),
         },
     )
-    units_rank = group_ranks(panel, keys, "units_sold", descending=True).select(
+    units_rank = group_ranks(narrow, keys, "units_sold", descending=True).select(
         *keys, "units_sold", F.col("dense_rank").alias("unit_rank_category_region")
     )
-    revenue_rank = group_ranks(panel, keys, "revenue").select(
+    revenue_rank = group_ranks(narrow, keys, "revenue").select(
         *keys, "revenue", F.col("rank_share").alias("revenue_percentile_category_region")
     )
     ranked = totals.join(units_rank, [*keys, "units_sold"], "left").join(revenue_rank, [*keys, "revenue"], "left")
-    return ranked.withColumns(
-        {
-            "product_unit_share_category_region": safe_divide("units_sold", "category_region_units_2"),
-            "product_revenue_share_category_region": safe_divide("revenue", "category_region_revenue"),
-            "customer_share_category_region": safe_divide("unique_customers", "category_region_customers"),
-            "discount_vs_category_region": F.col("avg_discount_pct") - F.col("category_region_avg_discount"),
-        }
+    shares = {
+        "product_unit_share_category_region": safe_divide("units_sold", "category_region_units_2"),
+        "product_revenue_share_category_region": safe_divide("revenue", "category_region_revenue"),
+        "customer_share_category_region": safe_divide("unique_customers", "category_region_customers"),
+        "discount_vs_category_region": F.col("avg_discount_pct") - F.col("category_region_avg_discount"),
+    }
+    return ranked.select(
+        *PANEL_KEYS, "category_region_units_2", "category_region_revenue", "category_region_customers",
+        "category_region_avg_discount", "category_region_product_count", "unit_rank_category_region",
+        "revenue_percentile_category_region", *[e.alias(n) for n, e in shares.items()],
     )
 
 
+def peer_benchmarks(panel: DataFrame, keys: Sequence[str] = PEER_KEYS) -> DataFrame:
+    """Panel with its peer benchmarks."""
+    return panel.join(peer_table(panel, keys), PANEL_KEYS, "left")
+
+
 def momentum(panel: DataFrame, history: History | None = None) -> DataFrame:
     h = history or History()
     share = "product_unit_share_category_region"
@@ -263,14 +284,16 @@ CUSTOMER_LAGS = (
 )
 
 
-def customer_mix_features(
-    panel: DataFrame, cpm: DataFrame, distributor: str = "Distributor", history: History | None = None
-) -> DataFrame:
+def customer_lags(panel: DataFrame, history: History | None = None) -> DataFrame:
+    """Alias of the churn mean and one-month lags of the customer mix."""
     h = history or History()
-    mixed = panel.join(customer_mix(cpm, distributor), PANEL_KEYS, "left").withColumn(
-        "avg_customer_churn_probability", F.col("avg_base_churn_probability")
-    )
-    return mixed.withColumns({f"{c}_lag_1m": h.lag(c) for c in CUSTOMER_LAGS})
+    named = panel.withColumn("avg_customer_churn_probability", F.col("avg_base_churn_probability"))
+    return named.withColumns({f"{c}_lag_1m": h.lag(c) for c in CUSTOMER_LAGS})
+
+
+def customer_mix_features(panel: DataFrame, cpm: DataFrame, distributor: str = "Distributor") -> DataFrame:
+    """Panel with customer-mix shares, per-order averages and their lags."""
+    return customer_lags(panel.join(customer_mix(cpm, distributor), PANEL_KEYS, "left"))
 
 
 def growths(panel: DataFrame, history: History | None = None) -> DataFrame:
@@ -308,17 +331,31 @@ def commercial_pressure(panel: DataFrame, weights: Mapping[str, float] = PRESSUR
     )
 
 
-def all_features(panel: DataFrame, cpm: DataFrame, distributor: str = "Distributor") -> DataFrame:
-    """Every feature family, on a labelled panel with its sources attached."""
-    steps = [
-        lifecycle, profitability, funnel, campaign_history, supply_ratios, supply_pressure_score,
-        return_pressure, market_context, market_changes, peer_benchmarks, momentum,
-    ]
-    out = panel
-    for step in steps:
+def add_side_tables(
+    wide: DataFrame, panel: DataFrame, cpm: DataFrame, signals: DataFrame, distributor: str = "Distributor"
+) -> DataFrame:
+    """Peer benchmarks, customer mix and market changes joined to a panel with its sources.
+
+    Peers and mix share the panel key with the other sources, so joining them
+    here, before the history windows, costs no extra exchange of the wide rows.
+    """
+    keyed = wide.join(peer_table(panel), PANEL_KEYS, "left").join(customer_mix(cpm, distributor), PANEL_KEYS, "left")
+    return market_changes(keyed, signals)
+
+
+def derived_features(labelled: DataFrame) -> DataFrame:
+    """All feature families on a labelled panel that has its side tables.
+
+    Projections and windows over one history specification only: after the
+    label's exchange the rows are not moved again.
+    """
+    out = labelled
+    for step in (
+        lifecycle, profitability, funnel, campaign_history, supply_ratios, supply_pressure_score, return_pressure,
+        market_context, momentum, customer_lags, growths, interactions, commercial_pressure,
+    ):
         out = step(out)
-    out = customer_mix_features(out, cpm, distributor)
-    return commercial_pressure(interactions(growths(out)))
+    return out
 
 
 def without_infinite(df: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from riskloom.plans.monthly import (
 from riskloom.plans.panel import attach_sources, build_panel
 from riskloom.plans.sales import CHURN_BANDS, cost_variance, product_starts, sales_measures, stock_flow, weighted_value
 from riskloom.plans.history import labelled_panel
-from riskloom.plans.features import all_features
+from riskloom.plans.features import add_side_tables, derived_features
 from riskloom.session import materialize
 
 ENTERPRISE = "BUILDING"
@@ -409,12 +409,15 @@ class Star:
         """Panel with every source, history features and the next-month label."""
         return labelled_panel(attach_sources(self.panel(), self.sources(base)))
 
-    def features(self) -> DataFrame:
-        """Full feature table.
+    def features(self, panel: DataFrame | None = None, cpm: DataFrame | None = None) -> DataFrame:
+        """Full feature table of a star whose sales are written (see ``written``).
 
-        Wide window chains read the panel several times, so the labelled panel is
-        written before them.
+        The panel with its sales measures is written once because peers, market
+        grain and the wide table all read it; the wide rows are then exchanged
+        twice: for the panel-key joins and for the history windows.
         """
-        star = self.written()
-        labelled = materialize(star.labelled(), "labelled")
-        return all_features(labelled, customer_product_monthly(star.sales), DISTRIBUTOR)
+        panel = panel if panel is not None else materialize(self.panel(), "panel")
+        cpm = cpm if cpm is not None else customer_product_monthly(self.sales)
+        sources = self.sources(self.monthly_base)
+        wide = add_side_tables(attach_sources(panel, sources), panel, cpm, sources["signals"], DISTRIBUTOR)
+        return derived_features(labelled_panel(wide))
