@@ -18,12 +18,12 @@ from riskloom.session import build_session
 from riskloom.sources.star import Star
 
 FROM_TABLES = (
-    "flagship_current_risk", "ag01_customer_product_monthly", "ag02_monthly_sales", "ag04_quota_month",
-    "ag10_returns_monthly", "ag12_opportunity_monthly", "ag13_market_activity_monthly", "ag21_describe",
+    "flagship_current_risk", "ag05_distinct_counts", "ag10_returns_monthly", "ag12_opportunity_monthly", "ag13_market_activity_monthly", "ag21_describe",
     "ag24_monthly_actuals", "jn12_return_to_sale", "fn08_date_parts", "wn12_average_rank_share",
     "wn19_global_row_number", "prj26_effective_start", "dq03_primary_keys", "dq05_foreign_keys",
 )
 STAGED = (
+    "ag01_customer_product_monthly", "ag02_monthly_sales", "ag04_quota_month",
     "wn03_rolling_means", "wn06_slopes", "fe01_risk_flags", "fe13_peer_benchmarks", "ml01_time_split", "ml03_numeric_state",
     "ml14_summary_metrics", "ml15_roc_auc", "ml16_average_precision", "ro11_alert_queue", "ro14_threshold_tradeoff",
 )
@@ -53,6 +53,8 @@ def main() -> None:
     for name in FROM_TABLES:
         results[name] = timed(lambda: QUERIES[name](spark, directory))
         print(name, results[name], file=sys.stderr)
+    results["canonical_sales_written"] = timed(lambda: Star(spark, directory).written().sales.select("transaction_id"))
+    print("canonical_sales_written", results["canonical_sales_written"], file=sys.stderr)
     results["feature_table_from_raw"] = timed(lambda: Star(spark, directory).written().features())
     print("feature_table_from_raw", results["feature_table_from_raw"], file=sys.stderr)
     star = Star(spark, directory)

@@ -19,7 +19,7 @@ KEYS = ["product_id", "region_id", "year_month"]
     rounded="units_sold revenue avg_discount_pct gross_profit_eur",
 )
 def customer_product_monthly(star):
-    return mo.customer_product_monthly(star.sales)
+    return mo.customer_product_monthly(written(star).sales)
 
 
 @query(
@@ -27,17 +27,17 @@ def customer_product_monthly(star):
     rounded="units_sold revenue avg_discount_pct avg_asp_eur gross_profit_eur cogs_eur discount_value_eur gross_margin_pct",
 )
 def monthly_sales(star):
-    return mo.monthly_sales(star.sales)
+    return mo.monthly_sales(written(star).sales)
 
 
 @query("ag03_customer_mix_month", "SELECT * FROM t_customer_month", rounded="avg_customer_size_score avg_base_churn_probability")
 def customer_month(star):
-    return mo.customer_month_features(star.sales, ENTERPRISE)
+    return mo.customer_month_features(written(star).sales, ENTERPRISE)
 
 
 @query("ag04_quota_month", "SELECT * FROM t_quota", rounded="covered_annual_quota_eur")
 def quota_month(star):
-    return mo.quota_month(star.sales, star.reps)
+    return mo.quota_month(written(star).sales, star.reps)
 
 
 @query(
@@ -198,7 +198,7 @@ def supply_driver(star):
     rounded="observed_units",
 )
 def sales_driver(star):
-    return mk.sales_driver(star.sales.join(star.products.select("product_id", "product_category"), "product_id"))
+    return mk.sales_driver(written(star).sales.join(star.products.select("product_id", "product_category"), "product_id"))
 
 
 @query(
@@ -333,7 +333,7 @@ def monthly_actuals(star):
 )
 def kpi_rows(star):
     return P.kpis(
-        star.sales,
+        written(star).sales,
         {
             "transactions": F.count(F.lit(1)),
             "total_units": F.sum("units"),
@@ -362,7 +362,7 @@ def missing_share(star):
     rounded="detail_total summary_total difference", digits=2,
 )
 def reconcile(star):
-    return P.reconcile(star.sales, panel(star), ["units_sold", "revenue"])
+    return P.reconcile(written(star).sales, panel(star), ["units_sold", "revenue"])
 
 
 @query(
@@ -389,7 +389,7 @@ def table_profile(star):
          ON e.product_id = p.product_id WHERE f.first_month < launch_date""",
 )
 def audit_launches(star):
-    return launch_audit(star.products, star.sales)
+    return launch_audit(star.products, written(star).sales)
 
 
 @query(

@@ -7,7 +7,8 @@ from riskloom.operators.sets import sort_by
 from riskloom.plans import features as fe, history as H, market as mk
 from riskloom.plans.calendar import months
 from riskloom.plans.panel import within
-from riskloom.plans.sales import launch_issue
+from riskloom.plans.sales import launch_issue, product_starts
+from riskloom.session import materialize
 from riskloom.sources.star import DISTRIBUTOR, Star
 
 KEYS = ["product_id", "region_id", "year_month"]
@@ -23,9 +24,16 @@ _K = "product_id, region_id, year_month"
 )
 def current_risk(star: Star):
     """Which product-regions show a sales drop or an under-trend month, most severe first."""
-    monthly = star.sales.groupBy(*KEYS).agg(F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue"),
-                                            F.count_distinct("customer_id").alias("unique_customers"))
-    flagged = H.risk_flags(H.time_features(star.panel(monthly)))
+    # one pass over the joined facts; launch dates come from the same monthly rows
+    monthly = materialize(
+        star.raw_sales().groupBy(*KEYS).agg(
+            F.sum("units").alias("units_sold"), F.sum("revenue_eur").alias("revenue"),
+            F.count_distinct("customer_id").alias("unique_customers"), F.min("order_date").alias("order_date"),
+        ),
+        "flagship-monthly",
+    )
+    star.__dict__["starts"] = product_starts(star.products, monthly)
+    flagged = H.risk_flags(H.time_features(star.panel(monthly.drop("order_date"))))
     severity = F.col("risk_factor_sales_drop") + F.col("risk_factor_under_trend")
     rows = flagged.withColumn("severity", severity).where("severity > 0")
     return sort_by(rows, "-severity", "mom_units_growth_pct", *KEYS).limit(1000).select(
@@ -456,6 +464,6 @@ def enriched_columns(star):
        FROM t_products p LEFT JOIN (SELECT product_id, min(year_month) AS first_sales_month FROM t_sales GROUP BY 1) s USING (product_id)""",
 )
 def launch_issues(star):
-    return launch_issue(star.products, star.sales).select(
+    return launch_issue(star.products, written(star).sales).select(
         "product_id", "launch_month", "first_sales_month", "effective_launch_month", "launch_date_issue_flag", "launch_month_gap"
     )

@@ -232,7 +232,7 @@ def activity_rules(star):
 )
 def sales_quality(star):
     return P.kpis(
-        star.sales,
+        written(star).sales,
         {
             "row_count": F.count(F.lit(1)), "transactions": F.count_distinct("transaction_id"),
             "first_month": F.min(D.month_key("year_month")), "last_month": F.max(D.month_key("year_month")),

@@ -23,16 +23,28 @@ def exact_percentiles(
     """
     keys = list(keys)
     targets = [(c, p) for c in columns for p in points]
-    bounds, sizes = [], []
-    for i, (c, p) in enumerate(targets):
-        v = F.col(c).cast("double")
-        lo = F.min(v) if p <= _MARGIN else F.percentile_approx(v, p - _MARGIN, _ACCURACY)
-        hi = F.max(v) if p >= 1 - _MARGIN else F.percentile_approx(v, p + _MARGIN, _ACCURACY)
-        bounds += [lo.alias(f"lo{i}"), hi.alias(f"hi{i}")]
+    # one quantile sketch per column serves both ends of all its brackets
+    bounds = []
     for c in columns:
-        sizes.append(F.count(c).alias(f"n_{c}"))
+        v = F.col(c).cast("double")
+        marks = sorted({m for p in points for m in (p - _MARGIN, p + _MARGIN) if 0 < m < 1})
+        sketch = F.percentile_approx(v, marks, _ACCURACY) if marks else F.array()
+        bounds += [sketch.alias(f"q_{c}"), F.min(v).alias(f"min_{c}"), F.max(v).alias(f"max_{c}"), F.count(v).alias(f"n_{c}")]
     source = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    brackets = source.groupBy(*keys).agg(*bounds, *sizes)
+
+    def edge(c: str, mark: float):
+        if mark <= 0:
+            return F.col(f"min_{c}")
+        if mark >= 1:
+            return F.col(f"max_{c}")
+        return F.get(F.col(f"q_{c}"), F.lit(marks.index(mark)))
+
+    brackets = source.groupBy(*keys).agg(*bounds).select(
+        *keys,
+        *[f"n_{c}" for c in columns],
+        *[edge(c, p - _MARGIN).alias(f"lo{i}") for i, (c, p) in enumerate(targets)],
+        *[edge(c, p + _MARGIN).alias(f"hi{i}") for i, (c, p) in enumerate(targets)],
+    )
     packed = brackets.select(*keys, F.struct(*[c for c in brackets.columns if c not in keys]).alias("_b"))
     if keys:
         joined = source.join(packed, keys)
