@@ -331,16 +331,19 @@ def commercial_pressure(panel: DataFrame, weights: Mapping[str, float] = PRESSUR
     )
 
 
-def add_side_tables(
-    wide: DataFrame, panel: DataFrame, cpm: DataFrame, signals: DataFrame, distributor: str = "Distributor"
-) -> DataFrame:
-    """Peer benchmarks, customer mix and market changes joined to a panel with its sources.
+def side_tables(panel: DataFrame, signals: DataFrame) -> dict[str, DataFrame]:
+    """Peer benchmarks and market changes as tables of their own."""
+    return {"peers": peer_table(panel), "changes": market_change_table(panel, signals)}
+
+
+def add_side_tables(wide: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Side tables joined to a panel with its sources.
 
     Peers and mix share the panel key with the other sources, so joining them
     here, before the history windows, costs no extra exchange of the wide rows.
     """
-    keyed = wide.join(peer_table(panel), PANEL_KEYS, "left").join(customer_mix(cpm, distributor), PANEL_KEYS, "left")
-    return market_changes(keyed, signals)
+    keyed = wide.join(tables["peers"], PANEL_KEYS, "left").join(tables["mix"], PANEL_KEYS, "left")
+    return keyed.join(tables["changes"], [*MARKET_GRAIN, "year_month"], "left")
 
 
 def derived_features(labelled: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write independent tables as concurrent jobs, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        return dict(zip(tables, pool.map(lambda item: materialize(item[1], item[0]), tables.items())))

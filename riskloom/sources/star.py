@@ -21,6 +21,7 @@ from riskloom.plans.monthly import (
     SIGNAL_KEYS,
     cost_monthly,
     crm_region_month,
+    customer_mix,
     customer_product_monthly,
     inventory_monthly,
     market_activity_monthly,
@@ -32,8 +33,8 @@ from riskloom.plans.monthly import (
 from riskloom.plans.panel import attach_sources, build_panel
 from riskloom.plans.sales import CHURN_BANDS, cost_variance, product_starts, sales_measures, stock_flow, weighted_value
 from riskloom.plans.history import labelled_panel
-from riskloom.plans.features import add_side_tables, derived_features
-from riskloom.session import materialize
+from riskloom.plans.features import add_side_tables, derived_features, side_tables
+from riskloom.session import materialize, materialize_all
 
 ENTERPRISE = "BUILDING"
 DISTRIBUTOR = "MACHINERY"
@@ -412,12 +413,17 @@ class Star:
     def features(self, panel: DataFrame | None = None, cpm: DataFrame | None = None) -> DataFrame:
         """Full feature table of a star whose sales are written (see ``written``).
 
-        The panel with its sales measures is written once because peers, market
-        grain and the wide table all read it; the wide rows are then exchanged
-        twice: for the panel-key joins and for the history windows.
+        The panel, the monthly sources and the side tables are written first:
+        they are far smaller than the facts, are read more than once, and give
+        the wide plan exact sizes to choose its joins from. The wide rows are
+        then exchanged twice, for the panel-key joins and the history windows.
         """
-        panel = panel if panel is not None else materialize(self.panel(), "panel")
         cpm = cpm if cpm is not None else customer_product_monthly(self.sales)
-        sources = self.sources(self.monthly_base)
-        wide = add_side_tables(attach_sources(panel, sources), panel, cpm, sources["signals"], DISTRIBUTOR)
+        inputs = {**self.sources(self.monthly_base), "mix": customer_mix(cpm, DISTRIBUTOR)}
+        if panel is None:
+            inputs["panel"] = self.panel()
+        tables = materialize_all(inputs)
+        panel = panel if panel is not None else tables["panel"]
+        side = materialize_all(side_tables(panel, tables["signals"]))
+        wide = add_side_tables(attach_sources(panel, tables), {**side, "mix": tables["mix"]})
         return derived_features(labelled_panel(wide))
