@@ -21,8 +21,9 @@ _STAGES: dict[tuple, DataFrame] = {}
 
 
 # A decimal tie (for example a mean over eight values) would be rounded up or down
-# by summation noise; this factor moves ties off the edge in both engines alike.
-_OFF_TIE = "1.0000000000001"
+# by summation noise; this factor (and a tiny offset for differences of near-equal
+# values) moves ties off the edge in both engines alike.
+_OFF_TIE = "1.00000000000001"
 
 
 def presented(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -31,7 +32,9 @@ def presented(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         if kind in ("double", "float", "decimal"):
-            cols.append((F.round(F.col(f"`{f.name}`").cast("double") * float(_OFF_TIE), digits) + F.lit(0.0)).alias(f.name))
+            value = F.col(f"`{f.name}`").cast("double")
+            off_tie = value * float(_OFF_TIE) + F.signum(value) * 1e-12
+            cols.append((F.round(off_tie, digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -51,7 +54,7 @@ def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6)
         if sql is not None:
             body = sql.strip().rstrip(";")
             if rounded:
-                swaps = ", ".join(f"round(CAST({c} AS DOUBLE) * CAST({_OFF_TIE} AS DOUBLE), {digits}) + 0.0 AS {c}" for c in rounded.split())
+                swaps = ", ".join(f"round(CAST({c} AS DOUBLE) * CAST({_OFF_TIE} AS DOUBLE) + sign(CAST({c} AS DOUBLE)) * CAST(1e-12 AS DOUBLE), {digits}) + 0.0 AS {c}" for c in rounded.split())
                 body = f"SELECT * REPLACE ({swaps}) FROM ({body})"
             ORACLES[name] = with_ctes(body)
         return fn
