@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import content_sort, host_rules, mixing
+from riskloom.llm import content_sort, host_rules, mixing, simhash_grid
 from riskloom.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,10 @@ def op6(spark: SparkSession, directory: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
     out = mixing.mixed(table(spark, directory, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+@llm_query("op4_simhash_grid")
+def op4(spark: SparkSession, directory: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    out = simhash_grid.near_duplicates(table(spark, directory, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
