@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import content_sort, host_rules, mixing
+from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, simhash_grid
 from riskloom.session import materialize
 
 
@@ -20,15 +21,27 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return content_sort.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component: the smallest doc_id."""
+    return simhash_grid.drop_near_copies(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the source mix takes them."""
     return mixing.drawn(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count of every document of the mix, with digests of its ids and of the bytes they decode to."""
+    return bpe_matrix.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("source_mix", mix),
+    ("bpe_tokens", tokens),
 ]
 
 # Token ids of a byte-pair encoding are beyond SQL; tests/llm compares run() with a brute-force version.

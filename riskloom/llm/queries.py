@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import content_sort, host_rules, mixing, simhash_grid
+from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, simhash_grid
 from riskloom.llm.common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,11 @@ def op4(spark: SparkSession, directory: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     out = simhash_grid.near_duplicates(table(spark, directory, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@llm_query("op7_bpe_matrix")
+def op7(spark: SparkSession, directory: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes they decode to, as digests."""
+    docs = table(spark, directory, "documents")
+    out = bpe_matrix.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.withColumnRenamed("id", "doc_id")
