@@ -26,7 +26,7 @@ WEIGHTS = (3, 1, 2)
 MIX_PERCENT = 150
 MOST_COPIES = 2
 
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 5_000
 
 
 def _key(id_col: str, seed: str) -> Column:
