@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, simhash_grid
+from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, simhash_grid, token_store
 from riskloom.llm.common import table
+from riskloom.session import shared_dir
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -136,3 +138,12 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
     out = bpe_matrix.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return out.withColumnRenamed("id", "doc_id")
+
+
+@llm_query("op8_token_store")
+def op8(spark: SparkSession, directory: str) -> DataFrame:
+    """Token-id files of every document, written and read back."""
+    path = f"{shared_dir(spark)}/riskloom/token-store-{uuid.uuid4().hex}"
+    token_store.write_store(table(spark, directory, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    out = token_store.read_store(spark, path)
+    return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
