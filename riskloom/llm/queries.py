@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import shared_dir
 
@@ -147,3 +147,9 @@ def op8(spark: SparkSession, directory: str) -> DataFrame:
     token_store.write_store(table(spark, directory, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     out = token_store.read_store(spark, path)
     return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@llm_query("op9_secret_battery")
+def op9(spark: SparkSession, directory: str) -> DataFrame:
+    """Secrets of every document: base patterns and randomness tests."""
+    return secret_battery.secrets(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
