@@ -278,7 +278,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, row_hash, fp, component_id), one row per row of ``docs``."""
     rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("id").alias("rep")), "distinct-fingerprints")
-    components_of = _component_of_print(prints, distance, blocks)
+    # written, so that both sides of the join are plain exchanges, whose hot fingerprints Spark can split
+    components_of = materialize(_component_of_print(prints, distance, blocks), "component-of-fingerprint")
     return rows.join(components_of, "fp").select("id", "row_hash", "fp", "component_id")
 
 
