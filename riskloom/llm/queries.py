@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import shared_dir
 
@@ -153,3 +153,13 @@ def op8(spark: SparkSession, directory: str) -> DataFrame:
 def op9(spark: SparkSession, directory: str) -> DataFrame:
     """Secrets of every document: base patterns and randomness tests."""
     return secret_battery.secrets(table(spark, directory, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# Pseudonyms are only as private as the key: callers of the operator pass their own.
+PSEUDONYM_KEY = b"key of the registered query"
+
+
+@llm_query("op2_feistel_pseudonyms")
+def op2(spark: SparkSession, directory: str) -> DataFrame:
+    """Documents with their personal data replaced by format-preserving pseudonyms."""
+    return pseudonyms.pseudonyms(table(spark, directory, "documents"), PSEUDONYM_KEY).withColumnRenamed("id", "doc_id")
