@@ -8,9 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, content_sort, host_rules, mixing, pseudonyms, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, mixing, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
-from riskloom.session import shared_dir
+from riskloom.session import materialize, shared_dir
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -163,3 +163,12 @@ PSEUDONYM_KEY = b"key of the registered query"
 def op2(spark: SparkSession, directory: str) -> DataFrame:
     """Documents with their personal data replaced by format-preserving pseudonyms."""
     return pseudonyms.pseudonyms(table(spark, directory, "documents"), PSEUDONYM_KEY).withColumnRenamed("id", "doc_id")
+
+
+@llm_query("op3_chat_events")
+def op3(spark: SparkSession, directory: str) -> DataFrame:
+    """Every conversation rebuilt from its events, rendered, written, and read back as digests."""
+    own = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
+    log = chat_events.log_of_turns(table(spark, directory, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+    return chat_events.digests(materialize(chat_events.rendered_turns(log), "chat-turns"))
