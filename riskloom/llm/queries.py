@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, mixing, pseudonyms, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, mixing, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import materialize, shared_dir
 
@@ -172,3 +172,10 @@ def op3(spark: SparkSession, directory: str) -> DataFrame:
     more = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
     log = chat_events.log_of_turns(table(spark, directory, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
     return chat_events.digests(materialize(chat_events.rendered_turns(log), "chat-turns"))
+
+
+@llm_query("op10_html_crf")
+def op10(spark: SparkSession, directory: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, directory, "pages")
+    return html_crf.main_texts(pages, html_crf.fit(pages)).withColumnRenamed("id", "page_id")
