@@ -307,8 +307,12 @@ class Decoder:
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> dict:
     """Train the field with layouts filled from the pages with the smallest identifier hashes."""
-    sample = pages.select(F.xxhash64(F.col(id_col)).alias("place"), F.substring(F.col(html_col).cast("string"), 1, SAMPLE_CHARS).alias("html"))
-    rows = sample.where("html IS NOT NULL").orderBy("place", "html").limit(SAMPLE_PAGES).collect()
+    place = F.xxhash64(F.col(id_col))
+    known = pages.where(F.col(html_col).isNotNull())
+    last = known.select(place.alias("place")).orderBy("place").limit(SAMPLE_PAGES).agg(F.max("place")).first()[0]
+    # only pages of the sample are read to the driver: at most the bound, whatever the number of partitions
+    sample = known.where(place <= F.lit(last)).select(place.alias("place"), F.substring(F.col(html_col).cast("string"), 1, SAMPLE_CHARS).alias("html"))
+    rows = sample.orderBy("place", "html").limit(SAMPLE_PAGES).collect() if last is not None else []
     texts = sorted({b.text for r in rows for b in leaf_blocks(r.html)})
     return train(labelled_pages(texts))
 
