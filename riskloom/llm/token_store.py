@@ -20,8 +20,8 @@ identifier comes first; rows that share an identifier are ordered by text; no ro
 give an empty store; other columns are not read.
 
 Texts are encoded by the ``tokenizers`` library. A byte-level tokenizer cuts texts
-into words before anything else, so chunks of a text are encoded once and kept in a
-bounded cache; chunks end only where such a tokenizer always starts a new word. Any
+into words before anything else, so a text is cut into chunks where such a tokenizer
+always starts a new word, and a chunk is encoded once and kept in a bounded cache. Any
 other tokenizer gets whole texts.
 """
 
@@ -31,7 +31,9 @@ import hashlib
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,20 +42,20 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from riskloom.llm.chunks import ChunkCache, gathered, text_runs
+
 END_ID = 0
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32_768
 DICTIONARY_BYTES = 65_536
 SHARD_BYTES = 1 << 20
 LEVEL = 3
-CACHED_CHUNKS = 250_000
-BATCH_CHARS = 4_000_000
+CACHED_CHUNKS = 1_000_000
+BATCH_CHARS = 12_000_000
 
-# A space before a visible character of these ranges always starts a new word.
-_BREAK = re.compile(" (?=[!-~¡-ʯ])")
-# Further places where a byte-level tokenizer always starts a new word: after a letter
-# before a comma, full stop or line end, and around a single line end.
-_INNER = re.compile("(?<=[A-Za-zß-öø-ʯ])(?=[,.\n])|(?<=[,.])(?=\n)|(?<=[!-~¡-ʯ]\n)(?=[A-Za-z])")
+# Letters that are one word with the space before them, a mark that is the next one, and
+# perhaps a line end, a word of its own before more letters, and the same again.
+_PLAIN = re.compile("([A-Za-zß-öø-ʯ]+)([,.]?)(?:\n([A-Za-zß-öø-ʯ]+)([,.]?))?")
 
 _SHARDS = (
     "part int, seq int, first_id long, last_id long, doc_ids array<long>, offsets array<long>, counts array<long>, "
@@ -61,12 +63,19 @@ _SHARDS = (
 )
 
 
+def _serialized(ids: list[int]) -> bytes:
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
+
+
 class Encoder:
     """A tokenizer file of the ``tokenizers`` library, with special tokens in texts as ordinary text."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -75,36 +84,51 @@ class Encoder:
         cut = spec.get("pre_tokenizer") or {}
         plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
         self.chunked = plain and not spec.get("normalizer") and all(t.get("special") for t in spec.get("added_tokens") or [])
-        self.chunks: dict[str, bytes] = {}   # by the text after the leading space
-        self.parts: dict[str, bytes] = {}
+        if self.chunked:  # the same tokenizer for texts that are one word each
+            self.words = Tokenizer.from_file(path)
+            self.words.encode_special_tokens = True
+            self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.marks = dict(zip(",.\n", self._library([",", ".", "\n"]))) | {"": b""}
+        self.chunks = ChunkCache(self._new_chunks, CACHED_CHUNKS)
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        cut = [_INNER.split(" " + c) for c in new]
-        missing = {p for c in cut for p in c if p not in self.parts}
-        missing = list(missing)
-        self.parts.update(zip(missing, self._library(missing)))
-        for c, of in zip(new, cut):
-            self.chunks[c] = b"".join([self.parts[p] for p in of])
+        return [_serialized(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks after a space; a word and the same word before a mark or a line end are encoded once."""
+        words = {c: b"" for c in chunks if c.isalpha() and c.isascii()}
+        lines: dict[str, bytes] = {}
+        parts: dict[str, tuple] = {}
+        odd: list[str] = []
+        fullmatch = _PLAIN.fullmatch
+        for c in chunks:
+            if c in words:
+                continue
+            m = fullmatch(c)
+            if m is None:
+                odd.append(c)
+                continue
+            parts[c] = p = m.groups()
+            words[p[0]] = b""
+            if p[2]:
+                lines[p[2]] = b""
+        words.update(zip(words, self._word_ids([" " + w for w in words])))
+        lines.update(zip(lines, self._word_ids(list(lines))))
+        whole = dict(zip(odd, self._library([" " + c for c in odd])))
+        marks, end = self.marks, self.marks["\n"]
+        for c, (word, mark, line, last) in parts.items():
+            data = words[word] + marks[mark]
+            whole[c] = data + end + lines[line] + marks[last] if line else data
+        return [words[c] if c in words else whole[c] for c in chunks]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        return [_serialized(e.ids) for e in self.words.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of whole texts."""
         if not self.chunked:
             return self._library(texts)
-        if len(self.chunks) > CACHED_CHUNKS:
-            self.chunks = {}
-        if len(self.parts) > CACHED_CHUNKS:
-            self.parts = {}
-        cut = [_BREAK.split(t) for t in texts]
-        seen: set[str] = set()
-        for c in cut:
-            seen.update(c[1:])
-        self._learn([c for c in seen if c not in self.chunks])
-        ids = self.chunks
-        starts = self._library([c[0] for c in cut])
-        return [s + b"".join([ids[p] for p in c[1:]]) for s, c in zip(starts, cut)]
+        return [ids.tobytes() for ids in gathered(texts, self._library, self.chunks)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -116,18 +140,6 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _runs(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive texts, a few million characters at a time."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARS:
-            yield texts[start:i]
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield texts[start:]
-
-
 def _train(rows: DataFrame, tokenizer_path: str) -> bytes:
     """Dictionary from the documents with the smallest hashes: a bounded sample, the only ids the driver sees."""
     place = F.xxhash64("id")
@@ -138,8 +150,9 @@ def _train(rows: DataFrame, tokenizer_path: str) -> bytes:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for texts in _runs(["" if t is None else t for t in b.column(0).to_pylist()]):
-                yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES] for x in _encoder(tokenizer_path).encode(texts)], pa.binary())], names=["ids"])
+            texts = ["" if t is None else t for t in b.column(0).to_pylist()]
+            for i, j in text_runs(texts, BATCH_CHARS):
+                yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_BYTES] for x in _encoder(tokenizer_path).encode(texts[i:j])], pa.binary())], names=["ids"])
 
     sample = rows.where(place <= last).select("text").limit(SAMPLE_DOCS).mapInArrow(run, "ids binary")
     samples = sorted(bytes(r.ids) for r in sample.collect() if r.ids)
@@ -168,7 +181,7 @@ def _shard_rows(tokenizer_path: str, dictionary: bytes, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        packer = _compressor(dictionary)
+        packer, encoder = _compressor(dictionary), _encoder(tokenizer_path)
         ids: list[int | None] = []
         frames: list[bytes] = []
         counts: list[int] = []
@@ -181,11 +194,12 @@ def _shard_rows(tokenizer_path: str, dictionary: bytes, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for b in batches:
-            doc_ids = iter(b.column(0).to_pylist())
-            for texts in _runs(["" if t is None else t for t in b.column(1).to_pylist()]):
-                for data in _encoder(tokenizer_path).encode(texts):
+            doc_ids = b.column(0).to_pylist()
+            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
+            for i, j in text_runs(texts, BATCH_CHARS):
+                for doc_id, data in zip(doc_ids[i:j], encoder.encode(texts[i:j])):
                     data += end
-                    ids.append(next(doc_ids)), frames.append(packer.compress(data)), counts.append(len(data) // 4)
+                    ids.append(doc_id), frames.append(packer.compress(data)), counts.append(len(data) // 4)
                     size += len(frames[-1])
                     if size >= SHARD_BYTES:
                         yield shard()
@@ -221,7 +235,8 @@ def _shards(spark: SparkSession, path: str) -> DataFrame:
     shards = spark.read.schema(_SHARDS).parquet(f"{path}/shards")
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     bases = parts.select("part", F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("base"))
-    return shards.join(bases, "part")
+    # one row a part: the number of partitions bounds it, and the frames stay where they are
+    return shards.join(F.broadcast(bases), "part")
 
 
 def _read_frames(dict_hash: str, dictionary: bytes, wanted: frozenset | None, keep_ids: bool):
