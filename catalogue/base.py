@@ -20,21 +20,25 @@ ORACLES: dict[str, str] = {}
 _STAGES: dict[tuple, DataFrame] = {}
 
 
-# A decimal tie (for example a mean over eight values) would be rounded up or down
-# by summation noise; this factor (and a tiny offset for differences of near-equal
-# values) moves ties off the edge in both engines alike.
-_OFF_TIE = "1.00000000000001"
+def _grid(digits: int) -> float:
+    """Binary step about as fine as ``digits`` decimal places.
+
+    Results are rounded to multiples of 1/step. Sums, means and ratios of prices sit
+    exactly half way between two decimals quite often, where the order of a sum
+    decides; half way between two multiples of a power of two they hardly ever do.
+    """
+    return float(2 ** round(digits * 10 / 3))
 
 
 def presented(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Fractional columns as doubles rounded to a fixed number of places, without negative zero."""
+    """Fractional columns as doubles, rounded to a binary grid of 1e-6 or so, without negative zero."""
+    step = _grid(digits)
     cols = []
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         if kind in ("double", "float", "decimal"):
             value = F.col(f"`{f.name}`").cast("double")
-            off_tie = value * float(_OFF_TIE) + F.signum(value) * 1e-12
-            cols.append((F.round(off_tie, digits) + F.lit(0.0)).alias(f.name))
+            cols.append((F.rint(value * step) / step + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -54,7 +58,8 @@ def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6)
         if sql is not None:
             body = sql.strip().rstrip(";")
             if rounded:
-                swaps = ", ".join(f"round(CAST({c} AS DOUBLE) * CAST({_OFF_TIE} AS DOUBLE) + sign(CAST({c} AS DOUBLE)) * CAST(1e-12 AS DOUBLE), {digits}) + 0.0 AS {c}" for c in rounded.split())
+                step = f"CAST({_grid(digits)} AS DOUBLE)"
+                swaps = ", ".join(f"round_even(CAST({c} AS DOUBLE) * {step}, 0) / {step} + CAST(0 AS DOUBLE) AS {c}" for c in rounded.split())
                 body = f"SELECT * REPLACE ({swaps}) FROM ({body})"
             ORACLES[name] = with_ctes(body)
         return fn

@@ -51,7 +51,8 @@ def one_to_one(star):
 
 @query(
     "jn03_row_count_invariance",
-    "SELECT count(*) AS rows_before, count(*) AS rows_after, TRUE AS passed FROM t_sales",
+    """SELECT b AS rows_before, a AS rows_after, a = b AS passed
+       FROM (SELECT count(*) AS b FROM lineitem), (SELECT count(*) AS a FROM t_sales s LEFT JOIN t_regions r ON s.region_id = r.region_id)""",
 )
 def row_count_invariance(star):
     sales = star.raw_sales()
@@ -115,7 +116,7 @@ def dictionary_lookup(star):
 
 @query(
     "jn10_join_back",
-    """SELECT transaction_id, units, round(100 * units / sum(units) OVER (PARTITION BY product_id), 6) AS pct,
+    """SELECT transaction_id, units, 100 * units / sum(units) OVER (PARTITION BY product_id) AS pct,
               min(order_date) OVER (PARTITION BY product_id) AS first_sale FROM t_sales""",
     rounded="units pct",
 )
@@ -202,6 +203,16 @@ def collapsing_labels(star):
     return J.collapsing_labels(names, "label")
 
 
+@query(
+    "prj11_unknown_labels",
+    """SELECT lower(p_brand) AS label_key, count(*) AS row_count FROM part
+       WHERE lower(p_brand) NOT IN (SELECT lower(p_brand) FROM part WHERE p_size <= 2) GROUP BY 1""",
+)
+def unknown_labels(star):
+    part = star.table("part")
+    return J.unknown_labels(part.select(F.upper("p_brand").alias("label")), part.where("p_size <= 2").select(F.col("p_brand").alias("label")), "label")
+
+
 # --- set operations ----------------------------------------------------------
 
 @query(
