@@ -19,7 +19,7 @@ _K = "product_id, region_id, year_month"
     "flagship_current_risk",
     f"""SELECT {_K}, units_sold, units_lag_1m, mom_units_growth_pct, trend_slope_3m, risk_factor_sales_drop, risk_factor_under_trend
         FROM t_flags WHERE risk_factor_sales_drop + risk_factor_under_trend > 0
-        ORDER BY risk_factor_sales_drop + risk_factor_under_trend DESC, mom_units_growth_pct NULLS LAST, {_K} LIMIT 1000""",
+        ORDER BY risk_factor_sales_drop + risk_factor_under_trend DESC, mom_units_growth_pct NULLS LAST, {_K}""",
     rounded="units_sold units_lag_1m mom_units_growth_pct trend_slope_3m",
 )
 def current_risk(star: Star):
@@ -36,7 +36,7 @@ def current_risk(star: Star):
     flagged = H.risk_flags(H.time_features(star.panel(monthly.drop("order_date"))))
     severity = F.col("risk_factor_sales_drop") + F.col("risk_factor_under_trend")
     rows = flagged.withColumn("severity", severity).where("severity > 0")
-    return sort_by(rows, "-severity", "mom_units_growth_pct", *KEYS).limit(1000).select(
+    return sort_by(rows, "-severity", "mom_units_growth_pct", *KEYS).select(
         *KEYS, "units_sold", "units_lag_1m", "mom_units_growth_pct", "trend_slope_3m", "risk_factor_sales_drop",
         "risk_factor_under_trend",
     )

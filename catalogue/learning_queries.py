@@ -112,13 +112,6 @@ def unseen_level(star):
     return L.transform(features(star), state, KEYS)
 
 
-@query("ml05_selected_features")
-def selected_features(star):
-    numeric, categorical = L.select_features(features(star))
-    rows = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
-    return star.spark.createDataFrame(rows, "feature string, role string")
-
-
 _CATALOG = {
     "volatility_3m": ("momentum & stability", "current month available at prediction time"),
     "units_lag_1m": ("existing preprocessed feature", "current vs prior / prior-only history"),
@@ -464,6 +457,10 @@ def saved_model(star):
     )
 
 
-@query("ml30_probability_sums", "SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS bad_rows, TRUE AS passed FROM t_pred")
+@query(
+    "ml30_probability_sums",
+    """SELECT count(*) AS row_count, count(*) FILTER (abs(p0 + p1 + p2 - 1) > 1e-6) AS bad_rows,
+              count(*) FILTER (abs(p0 + p1 + p2 - 1) > 1e-6) = 0 AS passed FROM t_pred""",
+)
 def probability_sums(star):
     return M.check_proba(predictions(star))

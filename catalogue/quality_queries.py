@@ -8,9 +8,7 @@ from riskloom.functions import dates as D
 from riskloom.operators import profiles as P, quality as Q
 from riskloom.operators.joins import require_match
 from riskloom.plans.calendar import months
-from riskloom.plans.features import BASE_COLUMNS, output_contracts
 from riskloom.plans.history import TARGET
-from riskloom.plans.learning import IDENTIFIERS, select_features
 from riskloom.plans.monthly import market_activity_monthly
 from riskloom.plans.sales import customer_starts
 
@@ -26,28 +24,6 @@ def _checks_sql(relation: str, rules: dict[str, str]) -> str:
     )
 
 
-@query(
-    "dq01_required_columns",
-    """SELECT 'orders' AS check_name, EXISTS (SELECT 1 FROM orders) AS passed, 'None' AS detail
-       UNION ALL SELECT 'part', FALSE, 'p_launch, p_group' UNION ALL SELECT 'forecast', FALSE, 'forecast_units'""",
-)
-def required_columns(star):
-    tables = {"orders": star.table("orders"), "part": star.table("part")}
-    wanted = {
-        "orders": ["o_orderkey", "o_custkey"], "part": ["p_partkey", "p_launch", "p_group"], "forecast": ["forecast_units"],
-    }
-    return Q.check_columns(star.spark, tables, wanted)
-
-
-@query("dq02_column_contract")
-def column_contract(star):
-    compatible, _ = output_contracts(labelled(star))
-    return Q.roll_up(
-        Q.check_contract(compatible, BASE_COLUMNS, "compatible_columns"),
-        Q.check_contract(panel(star).select(*KEYS, "revenue"), [*KEYS, "units_sold"], "reduced_columns"),
-    )
-
-
 def _pk_sql(table: str, key: str) -> str:
     return f"""SELECT '{table}' AS table_name, '{key}' AS key_name, count(*) AS row_count, count(*) FILTER ({key} IS NULL) AS missing_keys,
         count({key}) - count(DISTINCT {key}) AS duplicate_keys,
@@ -65,7 +41,8 @@ def primary_keys(star):
 
 @query(
     "dq04_grains",
-    """SELECT 'panel' AS table_name, 'product_id x region_id x year_month' AS grain, CAST(0 AS BIGINT) AS duplicate_keys, TRUE AS passed
+    """SELECT 'panel' AS table_name, 'product_id x region_id x year_month' AS grain, count(*) - count(DISTINCT (product_id, region_id, year_month)) AS duplicate_keys,
+              count(*) = count(DISTINCT (product_id, region_id, year_month)) AS passed FROM t_panel
        UNION ALL SELECT 'lineitem', 'l_orderkey x l_linenumber',
               (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)),
               (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))""",
@@ -106,8 +83,8 @@ def foreign_keys(star):
 @query(
     "dq06_dimension_keys",
     "\nUNION ALL ".join(
-        f"""SELECT '{n}' AS table_name, '{k}' AS key_name, count(*) AS row_count, CAST(0 AS BIGINT) AS missing_keys,
-            count(*) - count(DISTINCT {k}) AS duplicate_keys, count(*) = count(DISTINCT {k}) AS passed FROM {t}"""
+        f"""SELECT '{n}' AS table_name, '{k}' AS key_name, count(*) AS row_count, count(*) - count({k}) AS missing_keys,
+            count({k}) - count(DISTINCT {k}) AS duplicate_keys, count(*) = count(DISTINCT {k}) AS passed FROM {t}"""
         for n, k, t in (("products", "product_id", "t_products"), ("customers", "customer_id", "t_customers"),
                         ("regions", "region_id", "t_regions"), ("sales_reps", "sales_rep_id", "t_reps"))
     ),
@@ -196,7 +173,14 @@ def business_rules(star):
     + "\nUNION ALL "
     + _checks_sql(
         "(SELECT l.*, o_orderdate FROM lineitem l JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')",
-        {"return_after_sale": "CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE)", "returned_within_sold": "l_quantity > l_quantity"},
+        {"return_after_sale": "CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE)"},
+    )
+    + "\nUNION ALL "
+    + _checks_sql(
+        """(SELECT r.returned, s.l_quantity AS sold FROM
+              (SELECT l_orderkey, l_linenumber, ceil(round(l_quantity * (l_discount + l_tax) * 10, 6)) AS returned FROM lineitem WHERE l_returnflag = 'R') r
+              JOIN lineitem s ON s.l_orderkey = r.l_orderkey AND s.l_linenumber = r.l_linenumber)""",
+        {"returned_within_sold": "returned > sold"},
     )
     + "\nUNION ALL "
     + _checks_sql("t_crm", {"sentiment_in_range": "sentiment_score NOT BETWEEN -1 AND 1"}),
@@ -215,11 +199,15 @@ def activity_rules(star):
         returned,
         {
             "return_after_sale": F.col("l_shipdate").cast("date") < F.col("sale_date"),
-            "returned_within_sold": F.col("l_quantity") > F.col("l_quantity"),
         },
     )
+    # units sent back, by the line's rates, against the units of the sale with the same order and line
+    back = F.ceil(F.round(F.col("l_quantity") * (F.col("l_discount") + F.col("l_tax")) * 10, 6))
+    sent_back = star.table("lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber", back.alias("returned"))
+    sale_lines = star.table("lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("sold"))
+    within = Q.check_none(sent_back.join(sale_lines, ["l_orderkey", "l_linenumber"]), {"returned_within_sold": F.col("returned") > F.col("sold")})
     crm = Q.check_none(star.crm, {"sentiment_in_range": ~F.col("sentiment_score").between(-1, 1)})
-    return Q.union_all(opps, returns, crm)
+    return Q.union_all(opps, returns, within, crm)
 
 
 @query(
@@ -256,7 +244,14 @@ def sales_quality(star):
     + """ UNION ALL SELECT 'unique_key', count(*) = count(DISTINCT (year_month, product_line, product_category, region_id)),
           CAST(count(*) - count(DISTINCT (year_month, product_line, product_category, region_id)) AS VARCHAR) FROM t_signals
           UNION ALL SELECT 'all_months_present', count(*) = 0, CAST(count(*) AS VARCHAR) FROM
-          (SELECT year_month FROM t_months EXCEPT SELECT year_month FROM t_signals)""",
+          (SELECT year_month FROM t_months EXCEPT SELECT year_month FROM t_signals)
+          UNION ALL SELECT 'canonical_groups', count(*) = 0, CAST(count(*) AS VARCHAR) FROM
+          (SELECT product_line, product_category FROM t_signals EXCEPT SELECT product_line, product_category FROM t_products)
+          UNION ALL SELECT 'all_regions_present', count(*) = 0, CAST(count(*) AS VARCHAR) FROM
+          (SELECT region_id FROM t_regions EXCEPT SELECT region_id FROM t_signals)
+          UNION ALL SELECT 'expected_row_count', n = e, n || ' / ' || e FROM
+          (SELECT (SELECT count(*) FROM t_signals) AS n,
+                  (SELECT count(DISTINCT (product_line, product_category)) FROM t_products) * (SELECT count(*) FROM t_regions) * (SELECT count(*) FROM t_months) AS e)""",
 )
 def signal_checks(star):
     signals = written(star).market_signals()
@@ -273,7 +268,20 @@ def signal_checks(star):
     unique = grain.select(F.lit("unique_key").alias("check_name"), "passed", F.col("duplicate_keys").cast("string").alias("detail"))
     lost = months(star.bounds).subtract(signals.select("year_month")).agg(F.count(F.lit(1)).alias("n"))
     present = lost.select(F.lit("all_months_present").alias("check_name"), (F.col("n") == 0).alias("passed"), F.col("n").cast("string").alias("detail"))
-    return Q.union_all(rules, unique, present)
+    group = ["product_line", "product_category"]
+    groups = star.products.select(*group).distinct()
+    strange = signals.select(*group).subtract(groups).agg(F.count(F.lit(1)).alias("n"))
+    absent = star.regions.select("region_id").subtract(signals.select("region_id")).agg(F.count(F.lit(1)).alias("n"))
+    gone = [
+        t.select(F.lit(name).alias("check_name"), (F.col("n") == 0).alias("passed"), F.col("n").cast("string").alias("detail"))
+        for name, t in (("canonical_groups", strange), ("all_regions_present", absent))
+    ]
+    count = lambda t: t.agg(F.count(F.lit(1))).scalar()
+    wanted = count(groups) * count(star.regions) * count(months(star.bounds))
+    size = signals.agg(F.count(F.lit(1)).alias("n")).select("n", wanted.alias("e")).select(
+        F.lit("expected_row_count").alias("check_name"), (F.col("n") == F.col("e")).alias("passed"), F.concat_ws(" / ", "n", "e").alias("detail")
+    )
+    return Q.union_all(rules, unique, present, *gone, size)
 
 
 _ACTIVITY_RULES = {
@@ -285,15 +293,50 @@ _ACTIVITY_RULES = {
     "views_not_below_visits": "product_page_views < website_visits",
     "mqls_not_below_demos": "marketing_qualified_leads < demo_requests",
     "binary_campaign_flag": "campaign_flag NOT IN (0, 1)",
-    "no_negative_values": "least(campaign_spend_eur, website_visits, product_page_views, demo_requests, marketing_qualified_leads) < 0",
-    "no_unexpected_missing": "campaign_channel IS NULL OR website_visits IS NULL",
+    "no_negative_values": """least(campaign_spend_eur, campaign_impressions, campaign_clicks, website_visits, product_page_views, demo_requests,
+                             marketing_qualified_leads) < 0""",
+    "no_unexpected_missing": """campaign_channel IS NULL OR campaign_flag IS NULL OR campaign_spend_eur IS NULL OR campaign_impressions IS NULL
+        OR campaign_clicks IS NULL OR website_visits IS NULL OR product_page_views IS NULL OR demo_requests IS NULL OR marketing_qualified_leads IS NULL""",
 }
 
 
-@query("dq11_activity_checks", _checks_sql("t_activity", _ACTIVITY_RULES))
+@query(
+    "dq11_activity_checks",
+    _checks_sql("t_activity", _ACTIVITY_RULES)
+    + """ UNION ALL SELECT 'unique_key', count(*) = count(DISTINCT (product_id, region_id, year_month)),
+          CAST(count(*) - count(DISTINCT (product_id, region_id, year_month)) AS VARCHAR) FROM t_activity
+          UNION ALL SELECT 'one_row_per_base_row', (SELECT count(*) FROM t_activity) = (SELECT count(*) FROM t_base),
+          (SELECT count(*) FROM t_activity) || ' / ' || (SELECT count(*) FROM t_base)""",
+)
 def activity_checks(star):
-    activity = market_activity_monthly(written(star).market_activity())
-    return Q.check_none(activity, {name: F.expr(cond) for name, cond in _ACTIVITY_RULES.items()})
+    def c(name):
+        return F.col(name)
+
+    sums = ("campaign_spend_eur", "campaign_impressions", "campaign_clicks", "website_visits", "product_page_views", "demo_requests", "marketing_qualified_leads")
+    idle = c("campaign_flag") == 0
+    base = written(star)
+    activity = market_activity_monthly(base.market_activity())
+    rules = Q.check_none(
+        activity,
+        {
+            "no_spend_without_campaign": idle & (c("campaign_spend_eur") != 0),
+            "no_impressions_without_campaign": idle & (c("campaign_impressions") != 0),
+            "no_clicks_without_campaign": idle & (c("campaign_clicks") != 0),
+            "clicks_within_impressions": c("campaign_clicks") > c("campaign_impressions"),
+            "ctr_in_range": ~c("campaign_ctr_pct").between(0, 100),
+            "views_not_below_visits": c("product_page_views") < c("website_visits"),
+            "mqls_not_below_demos": c("marketing_qualified_leads") < c("demo_requests"),
+            "binary_campaign_flag": ~c("campaign_flag").isin(0, 1),
+            "no_negative_values": F.least(*sums) < 0,
+            "no_unexpected_missing": F.greatest(*(c(x).isNull() for x in ("campaign_channel", "campaign_flag", *sums))),
+        },
+    )
+    grain = Q.check_grain(activity, KEYS).select(F.lit("unique_key").alias("check_name"), "passed", F.col("duplicate_keys").cast("string").alias("detail"))
+    wanted = base.monthly_base.agg(F.count(F.lit(1))).scalar()
+    size = activity.agg(F.count(F.lit(1)).alias("n")).select("n", wanted.alias("e")).select(
+        F.lit("one_row_per_base_row").alias("check_name"), (F.col("n") == F.col("e")).alias("passed"), F.concat_ws(" / ", "n", "e").alias("detail")
+    )
+    return Q.union_all(rules, grain, size)
 
 
 @query(
@@ -339,13 +382,11 @@ def domains(star):
     return Q.check_domain(labelled(star), [*_BINARY, TARGET], [0, 1])
 
 
-@query("dq16_leakage")
-def leakage(star):
-    numeric, categorical = select_features(features(star))
-    return Q.check_leakage(star.spark, [*numeric, *categorical], TARGET, IDENTIFIERS)
-
-
-@query("dq17_last_rows_unlabelled", "SELECT 'last_rows_unlabelled' AS check_name, TRUE AS passed, '0' AS detail FROM t_regions LIMIT 1")
+@query("dq17_last_rows_unlabelled", 
+    """SELECT 'last_rows_unlabelled' AS check_name, count(*) FILTER (last AND next_month_risk_label IS NOT NULL) = 0 AS passed,
+              CAST(count(*) FILTER (last AND next_month_risk_label IS NOT NULL) AS VARCHAR) AS detail
+       FROM (SELECT *, lead(year_month) OVER (PARTITION BY product_id, region_id ORDER BY year_month) IS NULL AS last FROM t_labelled)""",
+)
 def last_rows_unlabelled(star):
     return Q.check_last_unlabelled(labelled(star), ["product_id", "region_id"], "year_month", TARGET)
 
@@ -383,12 +424,6 @@ def raw_feature_quality(star):
     return Q.matrix_quality(split_features(star), NUMERIC, "split", TARGET)
 
 
-@query("dq19_feature_alignment")
-def feature_alignment(star):
-    rows = prepared(star)
-    return Q.check_alignment(star.spark, {s: [c for c in rows.columns if c in NUMERIC] for s in ("train", "validation", "test")})
-
-
 @query(
     "dq21_score_range",
     _checks_sql("t_pressure", {"commercial_pressure_score_in_range": "commercial_pressure_score NOT BETWEEN 0 AND 100"}),

@@ -41,12 +41,12 @@ _TRADE = "SELECT threshold, " + _TRADE[len("SELECT "):]
 
 @query(
     "ro02_tuned_threshold",
-    f"""SELECT * FROM ({_TRADE}) WHERE high_risk_recall >= 0.5 ORDER BY round(high_risk_f2, 9) DESC, round(high_risk_precision, 9) DESC,
+    f"""SELECT * FROM ({_TRADE}) WHERE high_risk_recall >= 0.7 ORDER BY round(high_risk_f2, 9) DESC, round(high_risk_precision, 9) DESC,
         round(macro_f1, 9) DESC, round(false_alarm_rate, 9), threshold LIMIT 1""",
     rounded="threshold " + SUMMARY,
 )
 def tuned_threshold(star):
-    return M.tune_threshold(_judged(star), min_recall=0.5)
+    return M.tune_threshold(_judged(star), min_recall=0.7)
 
 
 @query(
@@ -88,10 +88,7 @@ def family_importance(star):
 @query("ro06_permutation_importance")
 def permutation_importance(star):
     model, table, names = _forest(star)
-    return RF.permutation_importance(
-        model, table.where("split = 'validation'"), names, KEYS,
-        only=["units_sold", "volatility_3m", "trend_slope_3m", "commercial_pressure_score"],
-    )
+    return RF.permutation_importance(model, table.where("split = 'validation'"), names, KEYS)
 
 
 @query("ro07_path_contributions")

@@ -71,13 +71,17 @@ def join_growth(before: DataFrame, after: DataFrame) -> DataFrame:
     ).withColumn("passed", F.col("rows_before") == F.col("rows_after"))
 
 
-def spread_over(df: DataFrame, domain: DataFrame, buckets: int = 16) -> DataFrame:
+def spread_over(df: DataFrame, domain: DataFrame, buckets: int | None = None) -> DataFrame:
     """Every row of ``df`` with every row of ``domain``.
 
     This is only for grids whose output is the wanted result. It is an equi-join
     on a hash bucket of the domain, so a domain too large to broadcast is still
     spread over ``buckets`` tasks (more when adaptive execution splits them).
+    By default there are as many buckets as the domain has rows, at most 16, so a
+    small domain does not copy the left side more often than it has rows.
     """
+    if buckets is None:
+        buckets = max(1, domain.limit(16).count())
     left = df.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     right = domain.withColumn("_slot", F.pmod(F.xxhash64(*domain.columns), F.lit(buckets)).cast("int"))
     return left.join(right, "_slot").drop("_slot")
@@ -135,9 +139,21 @@ def coverage(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> Data
     )
 
 
-def canonical_label(df: DataFrame, dim: DataFrame, column: str) -> DataFrame:
-    """Replace a label by the dimension's spelling, matched without regard to case."""
-    labels = dim.select(F.lower(column).alias("_label_key"), F.col(column).alias("_canonical")).distinct()
+def canonical_label(df: DataFrame, dim: DataFrame, column: str, enforce: bool = True) -> DataFrame:
+    """Replace a label by the dimension's spelling, matched without regard to case.
+
+    Raises when two spellings of the dimension differ by case only, or when a
+    known label of ``df`` is not in the dimension; without ``enforce`` the
+    smallest spelling is taken and an unknown label becomes null.
+    """
+    if enforce:
+        clash = collapsing_labels(dim, column).limit(10).collect()
+        if clash:
+            raise ValueError(f"{column} has spellings that differ by case only: {[r[0] for r in clash]}")
+        strange = unknown_labels(df, dim, column).limit(10).collect()
+        if strange:
+            raise ValueError(f"{column} has unknown labels: {[r[0] for r in strange]}")
+    labels = dim.groupBy(F.lower(column).alias("_label_key")).agg(F.min(column).alias("_canonical"))
     rest = [c for c in df.columns if c != column]
     return (
         df.withColumn("_label_key", F.lower(column))
@@ -146,6 +162,12 @@ def canonical_label(df: DataFrame, dim: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unknown_labels(df: DataFrame, dim: DataFrame, column: str) -> DataFrame:
+    """Labels of ``df``, without regard to case, that the dimension lacks: (label_key, row_count)."""
+    counted = df.where(F.col(column).isNotNull()).groupBy(F.lower(column).alias("label_key")).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.join(dim.select(F.lower(column).alias("label_key")).distinct(), "label_key", "left_anti")
+
+
 def collapsing_labels(dim: DataFrame, column: str) -> DataFrame:
     """Canonical labels that differ only by case."""
     return (

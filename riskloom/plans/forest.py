@@ -14,7 +14,7 @@ from riskloom.operators.sets import union_all
 from riskloom.plans.history import TARGET
 from riskloom.plans.learning import RISK_LABELS, balanced_weights, feature_family, ranked_features, score_model
 from riskloom.plans.metrics import confusion_cells, evaluate, summary_columns
-from riskloom.session import shared_dir
+from riskloom.session import materialize, shared_dir
 
 # Settings of the selected forest.
 FOREST_DEFAULTS = {"numTrees": 220, "maxDepth": 14, "minInstancesPerNode": 3, "featureSubsetStrategy": "sqrt", "seed": 42}
@@ -81,19 +81,20 @@ def permutation_importance(
         {"_own": vector_to_array("features"), "_other": vector_to_array("_other")}
     ).drop("features")
 
-    def macro_f1(df: DataFrame, name: str) -> DataFrame:
-        cells = confusion_cells(score_model(df, model))
-        return cells.select(F.lit(name).alias("feature"), summary_columns()["macro_f1"].alias("macro_f1"))
-
-    baseline = macro_f1(paired.withColumn("features", array_to_vector("_own")), "").select("macro_f1").scalar()
-    parts = []
-    for i, f in enumerate(features):
-        if only is not None and f not in only:
-            continue
-        swapped = F.array(F.get(F.col("_other"), F.lit(i)))
-        mixed = F.concat(F.slice("_own", 1, i), swapped, F.slice("_own", i + 2, len(features)))
-        parts.append(macro_f1(paired.withColumn("features", array_to_vector(mixed)), f))
-    scored = union_all(*parts).withColumn("baseline_macro_f1", baseline)
+    # written once; every row is then scored with each feature swapped (and once as it is,
+    # number -1) in one pass, which only shuffles nine counts per feature and task
+    paired = materialize(paired, "perm-pairs")
+    numbers = [i for i, f in enumerate(features) if only is None or f in only]
+    i = F.col("_feature")
+    mixed = F.when(i < 0, F.col("_own")).otherwise(F.transform("_own", lambda x, k: F.when(k == i, F.get("_other", k)).otherwise(x)))
+    swapped = paired.withColumn("_feature", F.explode(F.array(*[F.lit(n) for n in [-1, *numbers]]))).withColumn("features", array_to_vector(mixed))
+    cells = confusion_cells(score_model(swapped.select("_feature", "actual_label", "features"), model), ["_feature"])
+    rated = materialize(cells.select("_feature", summary_columns()["macro_f1"].alias("macro_f1")), "perm-scores")
+    baseline = rated.where("_feature < 0").select("macro_f1").scalar()
+    names = F.array(*[F.lit(f) for f in features])
+    scored = rated.where("_feature >= 0").select(
+        F.get(names, F.col("_feature")).alias("feature"), "macro_f1", baseline.alias("baseline_macro_f1")
+    )
     return ranked_features(
         scored.withColumn("importance", F.col("baseline_macro_f1") - F.col("macro_f1")), "importance"
     )

@@ -15,14 +15,15 @@ from riskloom.functions.scalars import safe_divide
 from riskloom.operators.ranks import running_totals
 from riskloom.operators.sets import best_row, union_all
 from riskloom.plans.learning import RISK_LABELS
+from riskloom.session import materialize
 
 PROBABILITIES = ("p0", "p1", "p2")
 LOG_EPS = 2.220446049250313e-16
 
 
-def confusion_cells(pred: DataFrame) -> DataFrame:
-    """One row with the nine counts c<actual><predicted>."""
-    return pred.agg(
+def confusion_cells(pred: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The nine counts c<actual><predicted>: one row, or one per group of ``by``."""
+    return pred.groupBy(*by).agg(
         *[
             F.count_if((F.col("actual_label") == a) & (F.col("predicted_label") == p)).alias(f"c{a}{p}")
             for a in RISK_LABELS
@@ -118,14 +119,14 @@ def score_counts(pred: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(pred: DataFrame) -> DataFrame:
+def roc_auc(pred: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """ROC-AUC per class (null when a class or its complement is absent).
 
     Mann–Whitney form: for each score, the negatives with a lower score plus
     half of those with the same score.
     """
     runs = running_totals(
-        score_counts(pred), ["label"], "score", {"n": F.sum("n"), "positives": F.sum("positives")}
+        score_counts(pred) if counts is None else counts, ["label"], "score", {"n": F.sum("n"), "positives": F.sum("positives")}
     )
     negatives = F.col("n") - F.col("positives")
     below = F.col("n_before") - F.col("positives_before")
@@ -137,10 +138,10 @@ def roc_auc(pred: DataFrame) -> DataFrame:
     )
 
 
-def avg_precision(pred: DataFrame) -> DataFrame:
+def avg_precision(pred: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Step-wise average precision per class; equal scores form one step."""
     runs = running_totals(
-        score_counts(pred), ["label"], "score", {"n": F.sum("n"), "positives": F.sum("positives")}, descending=True
+        score_counts(pred) if counts is None else counts, ["label"], "score", {"n": F.sum("n"), "positives": F.sum("positives")}, descending=True
     )
     reached = F.col("positives_before") + F.col("positives")
     precision = reached / (F.col("n_before") + F.col("n"))
@@ -170,9 +171,15 @@ def check_proba(pred: DataFrame, tol: float = 1e-6) -> DataFrame:
 
 
 def evaluate(pred: DataFrame, model: str, split: str) -> DataFrame:
-    """Full metric row of a model on a split."""
-    auc = roc_auc(pred)
-    ap = avg_precision(pred)
+    """Full metric row of a model on a split.
+
+    Rows are scored once: five narrow columns are written, and every metric reads
+    those; ranks for AUC and average precision start from written counts per score.
+    """
+    pred = materialize(pred.select("actual_label", "predicted_label", *PROBABILITIES), "scored")
+    counts = materialize(score_counts(pred), "score-counts")
+    auc = roc_auc(pred, counts)
+    ap = avg_precision(pred, counts)
     return summary_metrics(pred).select(
         F.lit(model).alias("model"),
         F.lit(split).alias("split"),

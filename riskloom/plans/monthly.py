@@ -25,30 +25,46 @@ def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def _modal_labels(df: DataFrame, keys: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Most frequent known label per key and column, smallest on ties, ``Unknown`` where none is known.
+
+    Rows are counted per (key, label) first, so one key's rows never meet as rows.
+    """
+    counted = df.groupBy(*keys, *labels).agg(F.count(F.lit(1)).alias("_n"))
+    cells = F.array(*[F.struct(F.lit(c).alias("_which"), F.col(c).cast("string").alias("_label"), F.col("_n")) for c in labels])
+    per_label = counted.select(*keys, F.inline(cells)).groupBy(*keys, "_which", "_label").agg(F.sum("_n").alias("_n"))
+    known = F.when(F.col("_label").isNotNull(), F.struct((-F.col("_n")).alias("n"), F.col("_label").alias("label")))
+    return per_label.groupBy(*keys).agg(
+        *[F.coalesce(F.min(F.when(F.col("_which") == c, known))["label"], F.lit("Unknown")).alias(c) for c in labels]
+    )
+
+
 def customer_product_monthly(sales: DataFrame) -> DataFrame:
     """Customer × product × region × month; rows with null keys form groups of their own.
 
     Orders are first reduced to one row inside their group, so counting them
-    needs no distinct aggregate. Segment and churn band come from the customer
-    dimension (an m:1 lookup), so they may serve as grouping keys, which keeps
-    both steps hash aggregates; the group's modal label is that label.
+    needs no distinct aggregate. Segment and churn band are the group's most
+    frequent labels, so a key has one row even where its labels vary.
     """
     keys = ["year_month", "customer_id", "product_id", "region_id"]
     labels = ["customer_segment", "churn_risk_band"]
-    per_order = sales.groupBy(*keys, *labels, "transaction_id").agg(
+    per_order = sales.groupBy(*keys, "transaction_id").agg(
         F.sum("units_sold").alias("units_sold"),
         F.sum("revenue").alias("revenue"),
         F.sum("avg_discount_pct").alias("_discounts"),
         F.count("avg_discount_pct").alias("_discount_rows"),
         F.sum("gross_profit_eur").alias("gross_profit_eur"),
     )
-    return per_order.groupBy(*keys, *labels).agg(
+    measures = per_order.groupBy(*keys).agg(
         F.sum("units_sold").alias("units_sold"),
         F.sum("revenue").alias("revenue"),
         F.count("transaction_id").alias("order_count"),
         safe_divide(F.sum("_discounts"), F.sum("_discount_rows")).alias("avg_discount_pct"),
         F.sum("gross_profit_eur").alias("gross_profit_eur"),
-    ).withColumns({c: unknown_if_null(c) for c in labels})
+    )
+    modes = _modal_labels(sales, keys, labels).select(*[F.col(k).alias(f"_{k}") for k in keys], *labels)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return measures.join(modes, same, "left").drop(*[f"_{k}" for k in keys])
 
 
 def monthly_sales(sales: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
@@ -90,8 +106,10 @@ def customer_month_features(
 ) -> DataFrame:
     """Customer mix with each customer counted once per group-month."""
     attrs = ["customer_segment", "churn_risk_band", "customer_size_score", "base_churn_probability"]
-    # attributes belong to the customer, so distinct rows are distinct customers
-    once = _known(sales, keys).select(*keys, "customer_id", *attrs).distinct()
+    # distinct rows first, which combine before the exchange; a customer whose attributes
+    # vary within a group-month then counts once, by the smallest row of attributes
+    distinct = _known(sales, keys).select(*keys, "customer_id", *attrs).distinct()
+    once = distinct.groupBy(*keys, "customer_id").agg(F.min(F.struct(*attrs)).alias("_row")).select(*keys, "customer_id", "_row.*")
     return once.groupBy(*keys).agg(
         F.avg("customer_size_score").alias("avg_customer_size_score"),
         F.avg("base_churn_probability").alias("avg_base_churn_probability"),
