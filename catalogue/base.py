@@ -20,30 +20,38 @@ ORACLES: dict[str, str] = {}
 _STAGES: dict[tuple, DataFrame] = {}
 
 
-def _grid(digits: int) -> float:
-    """Binary step about as fine as ``digits`` decimal places.
+# Results are rounded to multiples of a power of two, about as fine as the decimal places
+# asked for, and large ones to multiples of 1/1024, which is some twelve digits of a
+# revenue total. Sums, means and ratios of prices sit exactly half way between two
+# decimals quite often, where the order of a sum decides; half way between two multiples
+# of a power of two they hardly ever do.
+_LARGE, _LARGE_STEP = 4096.0, 1024.0
 
-    Results are rounded to multiples of 1/step. Sums, means and ratios of prices sit
-    exactly half way between two decimals quite often, where the order of a sum
-    decides; half way between two multiples of a power of two they hardly ever do.
-    """
+
+def _step(digits: int) -> float:
     return float(2 ** round(digits * 10 / 3))
 
 
 def presented(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Fractional columns as doubles, rounded to a binary grid of 1e-6 or so, without negative zero."""
-    step = _grid(digits)
+    """Fractional columns as doubles on the binary grid, without negative zero."""
     cols = []
     for f in df.schema.fields:
         kind = f.dataType.typeName()
         if kind in ("double", "float", "decimal"):
             value = F.col(f"`{f.name}`").cast("double")
+            step = F.when(F.abs(value) >= _LARGE, min(_LARGE_STEP, _step(digits))).otherwise(_step(digits))
             cols.append((F.rint(value * step) / step + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
 
 
+def _presented_sql(column: str, digits: int) -> str:
+    value = f"CAST({column} AS DOUBLE)"
+    step = f"CAST(CASE WHEN abs({value}) >= {_LARGE} THEN {min(_LARGE_STEP, _step(digits))} ELSE {_step(digits)} END AS DOUBLE)"
+    return f"round_even({value} * {step}, 0) / {step} + CAST(0 AS DOUBLE) AS {column}"
+
+
 def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6):
     """Register a function of a Star as a query; ``rounded`` lists the fractional columns of the SQL."""
 
@@ -58,8 +66,7 @@ def query(name: str, sql: str | None = None, rounded: str = "", digits: int = 6)
         if sql is not None:
             body = sql.strip().rstrip(";")
             if rounded:
-                step = f"CAST({_grid(digits)} AS DOUBLE)"
-                swaps = ", ".join(f"round_even(CAST({c} AS DOUBLE) * {step}, 0) / {step} + CAST(0 AS DOUBLE) AS {c}" for c in rounded.split())
+                swaps = ", ".join(_presented_sql(c, digits) for c in rounded.split())
                 body = f"SELECT * REPLACE ({swaps}) FROM ({body})"
             ORACLES[name] = with_ctes(body)
         return fn
