@@ -1,8 +1,8 @@
 """Byte-level BPE on padded numpy matrices.
 
-A text is cut into chunks at spaces that always start a new piece, chunks into
-pieces by the tokenizer's pattern, and each piece that a task has not met before is
-encoded: pieces are bucketed by length into padded matrices of ids, and in each
+A text is cut into chunks at spaces that always start a new piece (see ``chunks``),
+chunks into pieces by the tokenizer's pattern, and each piece that a task has not met
+lately is encoded: pieces are bucketed by length into padded matrices of ids, and in each
 round every row merges its leftmost pair of minimum rank; pair ranks come from an
 open-addressing hash table, merged rows are compacted, finished rows leave the
 matrix. Pieces longer than the widest bucket (thousands of letters without a break)
@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +26,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.llm.chunks import ChunkCache, gathered, text_runs
+
 NO_PAIR = np.int32(2**31 - 1)
 WIDTHS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256)
 MATRIX_CELLS = 1 << 21
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 500_000
 
-# A space before a visible character of these ranges always starts a new piece
-# (the pattern leaves the last space of a run to the word that follows it).
-_BREAK = re.compile(" (?=[!-~¡-ʯ])")
 _SLOT_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,8 +93,7 @@ class Codec:
         self.pairs = PairTable(self.ranks)
         self.pattern = regex.compile(pattern)
         self.decimals = {rank: str(rank) for rank in self.bytes_of}
-        self.first: dict[str, bytes] = {}   # ids of chunks that start a text
-        self.later: dict[str, bytes] = {}   # ids of chunks after a space, which the key leaves out
+        self.later = ChunkCache(lambda chunks: self._chunk_ids([" " + c for c in chunks]), CACHED_CHUNKS)
 
     # -- pieces
 
@@ -189,23 +186,15 @@ class Codec:
 
     # -- texts
 
-    def _learn(self, new: dict[str, None], cache: dict[str, bytes], lead: str) -> None:
-        """Encode chunks that are not cached."""
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         pieces: dict[str, int] = {}
-        parts = [[pieces.setdefault(p, len(pieces)) for p in self.pattern.findall(lead + c)] for c in new]
+        parts = [[pieces.setdefault(p, len(pieces)) for p in self.pattern.findall(c)] for c in chunks]
         ids = [x.tobytes() for x in self.encode_pieces([p.encode() for p in pieces])]
-        for c, of in zip(new, parts):
-            cache[c] = b"".join([ids[k] for k in of])
+        return [b"".join([ids[k] for k in of]) for of in parts]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
-        if len(self.first) + len(self.later) > CACHED_CHUNKS:
-            self.first, self.later = {}, {}
-        cut = [_BREAK.split(t) for t in texts]
-        self._learn(dict.fromkeys(c[0] for c in cut if c[0] not in self.first), self.first, "")
-        later = self.later
-        self._learn(dict.fromkeys([p for c in cut for p in c[1:] if p not in later]), later, " ")
-        return [np.frombuffer(self.first[c[0]] + b"".join([later[p] for p in c[1:]]), np.int32) for c in cut]
+        return gathered(texts, self._chunk_ids, self.later)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -233,30 +222,25 @@ def texts_of(column: pa.Array) -> list[str]:
 BATCH_CHARS = 4_000_000
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Positions of runs of texts of a few million characters, so that a batch of long texts stays small in memory."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > BATCH_CHARS:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def _encoded_runs(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    """(identifiers, ids) of a few million characters at a time, so that a batch of long texts stays small in memory."""
+    try:
+        for b in batches:
+            texts = texts_of(b.column(1))
+            for i, j in text_runs(texts, BATCH_CHARS):
+                yield b.column(0).slice(i, j - i), c.encode(texts[i:j])
+    finally:
+        c.later.forget()  # an idle worker holds the tables alone
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): token ids of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
-        for b in batches:
-            texts = texts_of(b.column(1))
-            for i, j in _slices(texts):
-                ids = c.encode(texts[i:j])
-                offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
-                flat = pa.array(np.concatenate(ids)) if ids else pa.array([], pa.int32())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), flat)], names=["id", "ids"])
+        for keys, ids in _encoded_runs(codec(path, pattern), batches):
+            offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
+            flat = pa.array(np.concatenate(ids).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(offsets), flat)], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, ids array<int>")
@@ -282,18 +266,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for b in batches:
-            texts = texts_of(b.column(1))
-            for i, j in _slices(texts):
-                ids = c.encode(texts[i:j])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(i, j - i), pa.array([len(x) for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(c.joined(x).encode()).hexdigest() for x in ids], pa.string()),
-                        pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids], pa.string()),
-                    ],
-                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for keys, ids in _encoded_runs(c, batches):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys, pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(c.joined(x).encode()).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids], pa.string()),
+                ],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

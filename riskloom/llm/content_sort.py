@@ -26,7 +26,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from riskloom.session import materialize
 
@@ -35,30 +36,38 @@ PREFIX_BYTES = 64
 _GROUPS = "id long, keep_id long, group_size long, leads boolean, text_sha256 string, part int, grp long, edge int, edge_text binary"
 
 
+def _normalised_binary(texts: pa.Array) -> pa.Array:
+    """A-Z lower-cased bytes; null as empty."""
+    return pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")).cast(pa.large_binary()).cast(pa.binary())
+
+
 def _normalise(position: int):
     """Add the normalised bytes (A-Z lower-cased, null as empty) of the text at ``position`` as a last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            low = pc.ascii_lower(pc.fill_null(b.column(position).cast(pa.large_string()), "")).cast(pa.large_binary()).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, low], names=[*b.schema.names, "_cs_key"])
+            yield pa.RecordBatch.from_arrays([*b.columns, _normalised_binary(b.column(position))], names=[*b.schema.names, "_cs_key"])
 
     return run
 
 
-def _sorted_by_content(rows: DataFrame, text_col: str, id_col: str, largest: bool) -> DataFrame:
-    """Rows with ``_cs_key``, range-partitioned and sorted so that the row that stays leads its copies."""
-    from pyspark.sql.types import BinaryType, StructField, StructType
+def _sorted_by_content(rows: DataFrame, text_col: str, id_col: str, largest: bool, keep_key: bool) -> DataFrame:
+    """Rows range-partitioned and sorted by content, so that the row that stays leads its copies.
 
+    With ``keep_key`` the normalised bytes stay as ``_cs_key`` in the text's stead;
+    without, the rows keep their columns, and the bytes are made again after the
+    exchange rather than moved beside the text.
+    """
     position = rows.columns.index(text_col)
     keyed = rows.mapInArrow(_normalise(position), StructType([*rows.schema.fields, StructField("_cs_key", BinaryType())]))
-    keyed = keyed.withColumns({"_cs_head": F.substring("_cs_key", 1, PREFIX_BYTES), "_cs_hash": F.xxhash64("_cs_key")})
+    keyed = keyed.withColumns({"_cs_head": F.substring("_cs_key", 1, PREFIX_BYTES), "_cs_hash": F.xxhash64("_cs_key")}).drop(text_col if keep_key else "_cs_key")
     identifier = F.col(id_col).desc_nulls_last() if largest else F.col(id_col).asc_nulls_last()
-    return (
-        keyed.repartitionByRange("_cs_head", "_cs_hash", identifier)
-        .sortWithinPartitions("_cs_head", "_cs_hash", "_cs_key", identifier)
-        .drop("_cs_head", "_cs_hash")
-    )
+    ranged = keyed.repartitionByRange("_cs_head", "_cs_hash", identifier)
+    if not keep_key:
+        upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+        ranged = ranged.withColumn("_cs_key", F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), upper, upper.lower()).cast("binary"))
+    ordered = ranged.sortWithinPartitions("_cs_head", "_cs_hash", "_cs_key", identifier).drop("_cs_head", "_cs_hash")
+    return ordered if keep_key else ordered.drop("_cs_key")
 
 
 def _changes(keys: pa.Array, before: bytes | None) -> np.ndarray:
@@ -122,8 +131,6 @@ def _edge_chains(edges: DataFrame) -> DataFrame:
     ``edges`` has at most two rows a partition, whatever the number of documents;
     their texts are compared in full with the neighbouring partition's.
     """
-    from pyspark.sql import Window
-
     order = Window.orderBy("part", "grp")
     follows = F.lag("edge_text").over(order) == F.col("edge_text")
     linked = edges.select("part", "grp", "keep_id", "group_size", F.when(follows, 0).otherwise(1).alias("starts"))
@@ -140,7 +147,7 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``keep`` says which identifier of equal texts stays: ``smallest`` or ``largest``.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ordered = _sorted_by_content(rows, "text", "id", keep == "largest").select("id", "_cs_key")
+    ordered = _sorted_by_content(rows, "text", "id", keep == "largest", keep_key=True).select("id", "_cs_key")
     groups = materialize(ordered.mapInArrow(_group_rows, _GROUPS), "content-groups")
     chains = _edge_chains(groups.where("edge > 0 AND leads"))
     joined = groups.join(chains, ["part", "grp"], "left")
@@ -153,7 +160,7 @@ def content_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def _leaders(key_position: int):
+def _leaders(text_position: int):
     """Rows that differ from the row before them, with the partition, a mark on its first row, and its last text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +169,7 @@ def _leaders(key_position: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            keys = b.column(key_position)
+            keys = _normalised_binary(b.column(text_position))
             new = _changes(keys, text)
             out = b.filter(pa.array(new))
             n = out.num_rows
@@ -173,28 +180,21 @@ def _leaders(key_position: int):
             texts = pa.array([keys[0].as_py() if first and i == 0 else None for i in range(n)], pa.binary())
             first, text = False, keys[b.num_rows - 1].as_py()
             if n:
-                columns = [c for i, c in enumerate(out.columns) if i != key_position]
-                names = [c for i, c in enumerate(out.schema.names) if i != key_position]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, part, np.int32)), pa.array(edge), texts], names=[*names, "_cs_part", "_cs_edge", "_cs_text"])
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(n, part, np.int32)), pa.array(edge), texts], names=[*out.schema.names, "_cs_part", "_cs_edge", "_cs_text"])
         if template is not None:  # a row of its own for the last text, dropped once compared
-            columns = [pa.nulls(1, c.type) for i, c in enumerate(template.columns) if i != key_position]
-            names = [c for i, c in enumerate(template.schema.names) if i != key_position]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([part], pa.int32()), pa.array([2], pa.int32()), pa.array([text], pa.binary())], names=[*names, "_cs_part", "_cs_edge", "_cs_text"])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c.type) for c in template.columns), pa.array([part], pa.int32()), pa.array([2], pa.int32()), pa.array([text], pa.binary())], names=[*template.schema.names, "_cs_part", "_cs_edge", "_cs_text"])
 
     return run
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """Rows of ``docs`` with all their columns, one of each group of equal texts."""
-    from pyspark.sql import Window
-    from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
-
-    ordered = _sorted_by_content(docs, text_col, id_col, keep == "largest")
+    ordered = _sorted_by_content(docs, text_col, id_col, keep == "largest", keep_key=False)
     schema = StructType([
         *(StructField(f.name, f.dataType, True) for f in docs.schema.fields),
         StructField("_cs_part", IntegerType()), StructField("_cs_edge", IntegerType()), StructField("_cs_text", BinaryType()),
     ])
-    leaders = materialize(ordered.mapInArrow(_leaders(len(docs.columns)), schema), "content-leaders")
+    leaders = materialize(ordered.mapInArrow(_leaders(docs.columns.index(text_col)), schema), "content-leaders")
     edges = leaders.where("_cs_edge > 0").select("_cs_part", "_cs_edge", "_cs_text")
     order = Window.orderBy("_cs_part", "_cs_edge")
     again = (

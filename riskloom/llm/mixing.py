@@ -6,7 +6,8 @@ their sizes say where a source's budget ends. A source whose budget is more than
 holds is repeated in whole epochs first. Everything is a function of identifiers,
 sources and texts, so reruns agree.
 
-Results by case: a null text has size 0 and takes nothing; a null source is a source
+Results by case: a null text has size 0 and takes no words (``drawn`` returns such a row
+if its key is ahead of its source's cut); a null source is a source
 of its own, ordered last; sources of size 0 get target 0; rows that share an
 identifier share a key and are ordered by text hash; no rows give no rows; columns
 other than the three named ones are not read by ``mixed`` and kept by ``drawn``.

@@ -48,9 +48,11 @@ def test_long_pieces_merge_in_the_same_order(ours, library):
 
 
 def test_full_cache_is_emptied(ours, library, monkeypatch):
-    monkeypatch.setattr(bm, "CACHED_CHUNKS", 5)
-    same(ours, library, ["one two three four"])
+    monkeypatch.setattr(ours.later, "most", 3)
+    same(ours, library, ["one two three four five six seven"])
     same(ours, library, ["five six seven", "one two"])
+    assert len(ours.later.keys) <= 3
+    same(ours, library, ["one seven eight"])
 
 
 def test_pair_table(ours):
