@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 _STAGES: dict[tuple, DataFrame] = {}
+_MODELS: dict[tuple, object] = {}
 
 
 # Results are rounded to multiples of a power of two, about as fine as the decimal places
@@ -146,14 +147,16 @@ def prepared(star: Star) -> DataFrame:
     return _stage(star, "prepared", build)
 
 
+def fitted(star: Star, label: str, fit: Callable[[], object]):
+    """A model fitted once per application and data set and shared by the queries that use it."""
+    key = (star.spark.sparkContext.applicationId, star.directory, label)
+    if key not in _MODELS:
+        _MODELS[key] = fit()
+    return _MODELS[key]
+
+
 # Features of the fitted-model queries.
-MODEL_NUMERIC = (
-    "units_sold", "revenue", "unique_customers", "avg_discount_pct", "order_count", "active_sales_reps", "gross_margin_pct",
-    "units_lag_1m", "units_lag_3m", "revenue_lag_1m", "rolling_units_mean_3m", "rolling_units_mean_6m", "rolling_units_std_3m",
-    "volatility_3m", "mom_units_growth_pct", "customer_count_growth_pct", "trend_slope_3m", "trend_slope_6m", "stockout_flag",
-    "backorder_units", "market_demand_index", "competitor_pressure_index", "supply_pressure_score", "commercial_pressure_score",
-    "product_unit_share_category_region", "revenue_percentile_category_region", "inventory_months_cover", "return_rate_units",
-)
+MODEL_NUMERIC = NUMERIC
 MODEL_CATEGORICAL = ("lifecycle_stage", "campaign_channel", "dominant_rep_seniority")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from catalogue.base import (
     MODEL_CATEGORICAL,
     features,
+    fitted,
     labelled,
     matrix,
     predictions,
@@ -194,7 +195,7 @@ def class_weights(star):
 
 def _logistic(star):
     table, names = matrix(star)
-    return L.fit_logistic(table.where("split = 'train'")), table, names
+    return fitted(star, "logistic", lambda: L.fit_logistic(table.where("split = 'train'"))), table, names
 
 
 @query("ml10_logistic_regression")
@@ -358,8 +359,8 @@ def test_results(star):
 @query(
     "ml20_f_scores",
     """SELECT feature, sum(n * (mean - grand) * (mean - grand)) / 2 / (sum(n * var) / greatest(sum(n) - 3, 1) + 1e-12) AS f_score,
-              row_number() OVER (ORDER BY sum(n * (mean - grand) * (mean - grand)) / 2 / (sum(n * var) / greatest(sum(n) - 3, 1) + 1e-12) DESC)
-                AS rank FROM t_class GROUP BY feature""",
+              row_number() OVER (ORDER BY round(sum(n * (mean - grand) * (mean - grand)) / 2 / (sum(n * var) / greatest(sum(n) - 3, 1) + 1e-12), 6) DESC NULLS LAST,
+                feature) AS rank FROM t_class GROUP BY feature""",
     rounded="f_score",
 )
 def f_scores(star):
@@ -372,7 +373,7 @@ def f_scores(star):
               max(mean) FILTER (label = 1) AS class_1_mean, max((mean - grand) / spread) FILTER (label = 1) AS standardized_difference_class_1,
               max(mean) FILTER (label = 2) AS class_2_mean, max((mean - grand) / spread) FILTER (label = 2) AS standardized_difference_class_2,
               max(abs(mean)) AS max_abs_class_mean, max(abs((mean - grand) / spread)) AS max_abs_standardized_difference
-       FROM t_class GROUP BY 1""",
+       FROM t_class GROUP BY 1 ORDER BY round(max(abs((mean - grand) / spread)), 6) DESC NULLS LAST, feature LIMIT 30""",
     rounded="""class_0_mean standardized_difference_class_0 class_1_mean standardized_difference_class_1 class_2_mean
                standardized_difference_class_2 max_abs_class_mean max_abs_standardized_difference""",
 )

@@ -431,8 +431,31 @@ FROM t_pressure l LEFT JOIN (
   FROM (SELECT DISTINCT target_month FROM t_pressure WHERE next_month_risk_label IS NOT NULL) m) USING (target_month)
 """
 
-# Numeric features used by the closed-form learning queries.
-NUMERIC = ("units_sold", "volatility_3m", "mom_units_growth_pct", "avg_discount_pct")
+# Numeric features of the closed-form learning queries: all that the SQL model has. The
+# remaining features of the table are derived from these.
+NUMERIC = tuple(
+    """
+    base_list_price_eur base_unit_cost_eur target_margin_pct product_growth_factor
+    units_sold revenue unique_customers avg_discount_pct order_count active_sales_reps avg_asp_eur gross_profit_eur cogs_eur
+    discount_value_eur outlier_order_count gross_margin_pct avg_customer_size_score avg_base_churn_probability
+    enterprise_customer_count high_churn_customer_count covered_annual_quota_eur no_sales_flag
+    opening_stock_units production_units ending_stock_units inventory_value_eur stockout_flag zero_stock_flag backorder_units
+    supply_coverage_ratio standard_unit_cost_eur actual_unit_cost_eur cost_variance_eur cost_variance_pct
+    return_units return_value_eur return_count return_rate_units
+    campaign_flag campaign_spend_eur campaign_impressions campaign_clicks website_visits product_page_views demo_requests
+    marketing_qualified_leads regional_crm_activity_index activity_pipeline_interest_index campaign_ctr_pct cost_per_lead_eur
+    crm_activity_count crm_activity_minutes crm_demo_like_count avg_sentiment_score avg_customer_health_score
+    pipeline_opportunities weighted_pipeline_eur expected_pipeline_eur avg_win_probability avg_days_to_close
+    closed_won_count closed_lost_count pipeline_conversion_rate
+    market_demand_index market_growth_pct competitor_pressure_index seasonality_index macro_business_index supply_pressure_index
+    market_pipeline_interest_index demand_shock_flag regional_market_growth_factor market_opportunity_score
+    units_lag_1m units_lag_3m revenue_lag_1m customers_lag_1m rolling_units_mean_3m rolling_units_mean_6m rolling_units_std_3m
+    trend_slope_3m trend_slope_6m rolling_revenue_mean_3m rolling_revenue_std_3m volatility_3m
+    mom_units_growth_pct customer_count_growth_pct
+    risk_factor_sales_drop risk_factor_customer_drop risk_factor_volatility risk_factor_under_trend
+    backorder_rate supply_pressure_score high_competition_flag weak_market_flag commercial_pressure_score
+    """.split()
+)
 
 CTES["t_fit"] = f"""
 SELECT {', '.join(f"any_value(m_{c}) AS m_{c}, avg(coalesce({c}, m_{c})) AS a_{c}, coalesce(nullif(stddev_samp(coalesce({c}, m_{c})), 0), 1) AS s_{c}" for c in NUMERIC)}

@@ -405,9 +405,11 @@ def chronology(star):
 
 @query(
     "dq19_matrix_quality",
-    """SELECT split, count(*) AS row_count, 4 AS feature_count, 0 AS duplicate_names, CAST(0 AS BIGINT) AS missing_feature_values,
-              CAST(0 AS BIGINT) AS infinite_feature_values, count(*) FILTER (next_month_risk_label IS NULL) AS missing_target_values
-       FROM t_split GROUP BY 1""",
+    f"""SELECT split, count(*) AS row_count, {len(NUMERIC)} AS feature_count, 0 AS duplicate_names,
+              CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in NUMERIC)} AS BIGINT) AS missing_feature_values,
+              CAST({' + '.join(f'count(*) FILTER (isinf({c}))' for c in NUMERIC)} AS BIGINT) AS infinite_feature_values,
+              count(*) FILTER (next_month_risk_label IS NULL) AS missing_target_values
+       FROM t_prep GROUP BY 1""",
 )
 def matrix_quality(star):
     return Q.matrix_quality(prepared(star), NUMERIC, "split", TARGET)
@@ -415,7 +417,7 @@ def matrix_quality(star):
 
 @query(
     "dq19_raw_feature_quality",
-    f"""SELECT split, count(*) AS row_count, 4 AS feature_count, 0 AS duplicate_names,
+    f"""SELECT split, count(*) AS row_count, {len(NUMERIC)} AS feature_count, 0 AS duplicate_names,
               CAST({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in NUMERIC)} AS BIGINT) AS missing_feature_values,
               CAST(0 AS BIGINT) AS infinite_feature_values, count(*) FILTER (next_month_risk_label IS NULL) AS missing_target_values
        FROM t_split GROUP BY 1""",

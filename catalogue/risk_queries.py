@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.base import features, labelled, matrix, predictions, query
+from catalogue.base import features, fitted, labelled, matrix, predictions, query
 from catalogue.learning_queries import SUMMARY, summary_sql
 from riskloom.operators.profiles import label_distribution
 from riskloom.plans import forest as RF, learning as L, metrics as M, outputs as O
@@ -12,23 +12,19 @@ _K = "product_id, region_id, year_month"
 _LAB = "(SELECT * FROM t_pred WHERE actual_label IS NOT NULL)"
 CONTEXT = ["product_category", "region", "lifecycle_stage", "mom_units_growth_pct"]
 
-# Small forests keep the catalogue quick; the library defaults are the full settings.
-SMALL_FOREST = {"numTrees": 12, "maxDepth": 6}
-
-
 def _judged(star):
     return predictions(star).where(F.col("actual_label").isNotNull())
 
 
 def _forest(star):
     table, names = matrix(star)
-    return RF.fit_one_forest(table.where("split = 'train'"), **SMALL_FOREST), table, names
+    return fitted(star, "forest", lambda: RF.fit_one_forest(table.where("split = 'train'"))), table, names
 
 
 @query("ro01_forest_candidates")
 def forest_candidates(star):
     table, _ = matrix(star)
-    grid = [{**SMALL_FOREST, "balanced": True}, {**SMALL_FOREST, "maxDepth": 4, "balanced": False}]
+    grid = [{"balanced": True}, {"maxDepth": 8, "balanced": False}]
     _, ranked = RF.fit_forest(table.where("split = 'train'"), table.where("split = 'validation'"), grid)
     return ranked
 

@@ -441,8 +441,8 @@ def f_scores(train: DataFrame, features: Sequence[str], target: str = TARGET, la
 
 
 def ranked_features(df: DataFrame, score: str) -> DataFrame:
-    """Rank by score; one row per feature, so a single ordered window is small."""
-    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), "feature")))
+    """Rank by score at six decimals, then by name; one row per feature, so a single ordered window is small."""
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.round(score, 6).desc_nulls_last(), "feature")))
 
 
 def gnb_drivers(train: DataFrame, features: Sequence[str], top: int = 30, target: str = TARGET) -> DataFrame:
@@ -476,7 +476,7 @@ def gnb_drivers(train: DataFrame, features: Sequence[str], top: int = 30, target
         F.max(F.abs("mean")).alias("max_abs_class_mean"),
         F.max(F.abs("diff")).alias("max_abs_standardized_difference"),
     )
-    return wide.orderBy(F.desc("max_abs_standardized_difference"), "feature").limit(top)
+    return wide.orderBy(F.round("max_abs_standardized_difference", 6).desc_nulls_last(), "feature").limit(top)
 
 
 def lr_coefficients(model: LogisticRegressionModel, features: Sequence[str], spark) -> DataFrame:

@@ -152,3 +152,15 @@ def test_profiles(spark):
     row = P.profile(df).first()
     assert (row.row_count, row.duplicate_rows) == (3, 1) and row.missing_cells_pct == pytest.approx(100 * 2 / 6)
     assert [tuple(r) for r in P.missing_pct(df).collect()] == [("b", pytest.approx(200 / 3))]
+
+
+def test_canonical_label_refuses_unknown_and_colliding_spellings(spark):
+    fact = spark.createDataFrame([("ab",), (None,), ("CD",)], "label string")
+    good = spark.createDataFrame([("Ab",), ("Cd",)], "label string")
+    assert sorted(str(r.label) for r in J.canonical_label(fact, good, "label").collect()) == ["Ab", "Cd", "None"]
+    with pytest.raises(ValueError, match="differ by case"):
+        J.canonical_label(fact, spark.createDataFrame([("Ab",), ("AB",), ("Cd",)], "label string"), "label")
+    with pytest.raises(ValueError, match="unknown labels"):
+        J.canonical_label(fact, spark.createDataFrame([("Ab",)], "label string"), "label")
+    loose = J.canonical_label(fact, spark.createDataFrame([("Ab",), ("AB",)], "label string"), "label", enforce=False)
+    assert sorted(str(r.label) for r in loose.collect()) == ["AB", "None", "None"]

@@ -165,3 +165,21 @@ def test_path_contributions_sum_to_prediction(spark):
 def test_output_contract(panel):
     with pytest.raises(ValueError, match="contract"):
         fe.output_contracts(panel)
+
+
+def test_varying_labels_keep_one_row_per_key(spark):
+    from riskloom.plans import monthly as mo
+
+    columns = "year_month string, customer_id int, product_id string, region_id int, transaction_id int, units_sold double, revenue double, avg_discount_pct double, gross_profit_eur double, customer_segment string, churn_risk_band string, customer_size_score double, base_churn_probability double"
+    rows = [
+        ("m", 1, "p", 1, 10, 1.0, 5.0, 0.1, 1.0, "A", "High", 1.0, 0.5), ("m", 1, "p", 1, 10, 2.0, 5.0, None, 1.0, "B", None, 2.0, 0.5),
+        ("m", 1, "p", 1, 11, 3.0, 5.0, 0.3, 1.0, "B", None, 2.0, 0.5), ("m", None, "p", 1, 12, 4.0, 5.0, None, 1.0, None, None, None, None),
+    ]
+    sales = spark.createDataFrame(rows, columns)
+    got = {r.customer_id: r for r in mo.customer_product_monthly(sales).collect()}
+    assert len(got) == 2 and mo.customer_product_monthly(sales).count() == 2
+    assert (got[1].customer_segment, got[1].churn_risk_band, got[1].order_count, got[1].units_sold) == ("B", "High", 2, 6.0)
+    assert got[1].avg_discount_pct == pytest.approx(0.2)
+    assert (got[None].customer_segment, got[None].churn_risk_band, got[None].order_count) == ("Unknown", "Unknown", 1)
+    mix = mo.customer_month_features(sales, "A", ["year_month", "product_id", "region_id"]).first()
+    assert mix.enterprise_customer_count == 1 and mix.avg_customer_size_score == 1.0
