@@ -174,7 +174,7 @@ _CELLS = "\nUNION ALL ".join(f"SELECT {_K}, '{c}' AS feature, {c} AS x FROM t_pr
         SELECT {_K}, exp(l0 - m) / z AS p0, exp(l1 - m) / z AS p1, exp(l2 - m) / z AS p2,
                CASE WHEN l0 >= l1 AND l0 >= l2 THEN 0 WHEN l1 >= l2 THEN 1 ELSE 2 END AS predicted_label
         FROM (SELECT *, exp(l0 - m) + exp(l1 - m) + exp(l2 - m) AS z FROM (SELECT *, greatest(l0, l1, l2) AS m FROM logs))""",
-    # a log-likelihood adds 95 terms of up to thousands, so rounding in the variances shows in the probabilities' seventh place
+    # a log-likelihood adds 96 terms of up to thousands, so rounding in the variances shows in the probabilities' seventh place
     rounded="p0 p1 p2",
     digits=3,
 )
