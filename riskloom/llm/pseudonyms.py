@@ -7,6 +7,10 @@ in the same format with new check digits. The permutation depends on key, kind a
 format only, so equal values get equal pseudonyms in all documents, different values
 different ones, and ``restore=True`` with the same key brings the values back.
 
+A number is looked for at every place outside the numbers accepted before it: one that
+fails its validation is tried with shorter ends and as the other kinds, and then hides
+nothing that starts inside it.
+
 What is kept: separators, letter case by position, an address's last domain label, a
 telephone number's country code, a card's first digit, an IBAN's country.
 
@@ -32,16 +36,28 @@ KINDS = ("email", "ip", "iban", "ssn", "date", "phone", "card")
 # The formats. A number never touches a letter or another digit.
 _EDGE, _END = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,127}@[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
-NUMBERS = re.compile(
-    rf"(?P<iban>{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END})"
-    rf"|(?P<ip>(?<![A-Za-z0-9.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?!\.?[0-9])(?![A-Za-z]))"
-    rf"|(?P<ssn>{_EDGE}(?<![0-9]-)[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}(?!-[0-9]))"
-    rf"|(?P<date>{_EDGE}(?<![0-9][-./])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}([./])[0-9]{{2}}\5[0-9]{{4}}){_END}(?![-/][0-9]))"
-    rf"|(?P<phone>(?<![A-Za-z0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_END}"
-    rf"|{_EDGE}\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}{_END}|{_EDGE}[0-9]{{3}}([.-])[0-9]{{3}}\7[0-9]{{4}}{_END})"
-    rf"|(?P<card>{_EDGE}(?:[0-9]{{13,19}}|[0-9]{{4}}([ -])[0-9]{{4}}\9[0-9]{{4}}\9[0-9]{{1,7}}|3[0-9]{{3}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_END})"
-)
+_KIND = {
+    "iban": rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_END}",
+    "ip": r"(?<![A-Za-z0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])(?![A-Za-z])",
+    "ssn": rf"{_EDGE}(?<![0-9]-)[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_END}(?!-[0-9])",
+    "date": rf"{_EDGE}(?<![0-9][-./])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}(?P<d>[./])[0-9]{{2}}(?P=d)[0-9]{{4}}){_END}(?![-/][0-9])",
+    "phone": rf"(?<![A-Za-z0-9+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{1,4}}{_END}"
+    rf"|{_EDGE}\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}{_END}|{_EDGE}[0-9]{{3}}(?P<p>[.-])[0-9]{{3}}(?P=p)[0-9]{{4}}{_END}",
+    "card": rf"{_EDGE}(?:[0-9]{{13,19}}|[0-9]{{4}}(?P<c>[ -])[0-9]{{4}}(?P=c)[0-9]{{4}}(?P=c)[0-9]{{1,7}}|3[0-9]{{3}}[ -][0-9]{{6}}[ -][0-9]{{5}}){_END}",
+}
+NUMBERS = re.compile("|".join(f"(?:{x})" for x in _KIND.values()))
+_KIND = {k: re.compile(x) for k, x in _KIND.items()}
+_REACH = 64  # no number is longer
+# Lengths of the IBAN registry: at the end of an IBAN a word may follow that looks like a part of it.
+_IBAN_LENGTH = {
+    x[:2]: int(x[2:]) for x in """
+    AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23
+    GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18
+    NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20
+    """.split()
+}
 _DIGIT = re.compile("[0-9]")
+_LETTER_OR_DIGIT = re.compile("[A-Za-z0-9]")
 
 _FIRST_DAY, _LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
@@ -209,6 +225,46 @@ def _iban(s: str, f: Feistel) -> str | None:
 _REWRITE: dict[str, Callable[[str, Feistel], str | None]] = {"ip": _ip, "iban": _iban, "ssn": _ssn, "date": _date, "phone": _phone, "card": _card}
 
 
+def _ends(kind: str, text: str, start: int) -> list[int]:
+    """Ends that a number of a kind may have, the most likely first; IBANs and international telephone numbers may have several.
+
+    The order for telephone numbers is: ten digits after +1; then the longest that holds
+    no other number; then the longest that holds others whole. One that would cut another
+    number is no telephone number. Other numbers count by their shape, as a pseudonym
+    keeps it; groups of four digits only where they are a card number.
+    """
+    m = _KIND[kind].match(text, start)
+    if not m:
+        return []
+    if kind != "iban" and text[start] != "+":
+        return [m.end()]
+    ends = [m.end()] + [e for e in range(m.end() - 1, start, -1) if not _LETTER_OR_DIGIT.match(text, e) and _KIND[kind].fullmatch(text, start, e)]
+    if kind == "iban":
+        return sorted(ends, key=lambda e: len(text[start:e].replace(" ", "")) != _IBAN_LENGTH.get(text[start:start + 2]))
+    at = [i for i in range(start + 1, m.end()) if text[i - 1] == " "]
+    others = [(i, o.end()) for i in at for k in ("ip", "ssn", "date", "phone") if (o := _KIND[k].match(text, i))]
+    cards = [(i, o.end()) for i in at if (o := _KIND["card"].match(text, i)) and _card(o[0], _SAME)]
+    others += cards[-1:]  # four groups that end inside the last card are so by chance
+    ends = [e for e in ends if not any(i < e < end for i, end in others)]
+    ten = text.startswith(("+1 ", "+1.", "+1-", "+1("), start)
+    return sorted(ends, key=lambda e: (not (ten and len(_DIGIT.findall(text, start, e)) == 11), any(i < e for i, _ in others)))
+
+
+def _find(text: str, at: int) -> tuple[int, int, str] | None:
+    """(start, end, kind) of the first valid number that starts at ``at`` or later."""
+    while m := NUMBERS.search(text, at):
+        for kind in _KIND:
+            for end in _ends(kind, text, m.start()):
+                if _REWRITE[kind](text[m.start():end], _SAME) is not None:
+                    return m.start(), end, kind
+        at = m.start() + 1  # a valid number may start inside an invalid one
+    return None
+
+
+def _SAME(value: int, size: int, tweak: bytes) -> int:
+    return value
+
+
 def pseudonymise(text: str, f: Feistel) -> tuple[str, dict[str, int]]:
     """A text with its personal data replaced, and the replacements by kind."""
     counts = dict.fromkeys(KINDS, 0)
@@ -217,17 +273,38 @@ def pseudonymise(text: str, f: Feistel) -> tuple[str, dict[str, int]]:
         counts["email"] += 1
         return _email(m[0], f)
 
-    def number(m: re.Match) -> str:
-        # a card number may follow the number that the pattern took it to be part of
-        kind = next(k for k, v in m.groupdict().items() if v is not None)
-        new = _REWRITE[kind](m[0], f)
-        if new is None:
-            return m[0]
-        counts[kind] += 1
-        return new
-
     def numbers(part: str) -> str:
-        return NUMBERS.sub(number, part) if _DIGIT.search(part) else part
+        if not _DIGIT.search(part):
+            return part
+        out, at = [], 0
+        last = None  # the number before, as written
+        while found := _find(part, at):
+            start, end, kind = found
+            if last and start - at < _REACH:
+                left, place, known = last[0] + part[at:start], 0, [last]
+            else:
+                left, known = part[max(0, start - 2 * _REACH):start], []
+                place = len(left) - min(start - at, _REACH)
+
+            def fits(new: str) -> bool:
+                near, p = left + new + part[end:end + _REACH], place
+                for number in [*known, (new, kind)]:
+                    got = _find(near, p)
+                    if got is None or (near[got[0]:got[1]], got[2]) != number:
+                        return False
+                    p = got[1]
+                return True
+
+            # walk on where the numbers would not be found at their places, so that they can be restored
+            walk = fits(part[start:end])
+            new = _REWRITE[kind](part[start:end], f)
+            while walk and not fits(new):
+                new = _REWRITE[kind](new, f)
+            counts[kind] += 1
+            out += [part[at:start], new]
+            at, last = end, (new, kind)
+        out.append(part[at:])
+        return "".join(out)
 
     if "@" not in text:
         return numbers(text), counts

@@ -63,6 +63,23 @@ def test_other_numbers_stay():
         assert ps.pseudonymise(text, F) == (text, dict.fromkeys(ps.KINDS, 0)), text
 
 
+def test_numbers_that_follow_each_other():
+    ibans = ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874"]
+    other = {"ip": ["190.137.223.204", "7.1.2.3"], "date": ["1990-05-31", "31.05.1990", "31/12/2099"], "ssn": ["123-45-6789"], "card": ["4111 1111 1111 1111", "3782 822463 10005"]}
+    cases = [(f"{phone} {v}", {"phone": 1, kind: 1}) for phone in ("+1 (826) 555-4081", "+44 20 7946 0958", "+49 30123") for kind, vs in other.items() for v in vs]
+    cases += [("+44 20 7946 0958 269-555-3296", {"phone": 2})]
+    cases += [(f"{x}{after}", {"iban": 1}) for x in ibans for after in (" BIC", " A", " BANK", " BIC ABCDEFGH")]
+    cases += [(f"{ibans[0]} 4111 1111 1111 1111", {"iban": 1, "card": 1}), ("order 2025 4111 1111 1111 1111", {"card": 1}), ("DE00 3704 0044 0532 0130 00 16.195.23.156", {"ip": 1})]
+    for key in range(30):
+        f, back = ps.Feistel(b"%d" % key), ps.Feistel(b"%d" % key, restore=True)
+        for text, kinds in cases:
+            new, counts = ps.pseudonymise(text, f)
+            assert counts == {**dict.fromkeys(ps.KINDS, 0), **kinds}, (text, counts)
+            assert ps.pseudonymise(new, back)[0] == text, (text, new)
+    a, b = (ps.pseudonymise(x, F)[0] for x in ("+1 (826) 555-4081", "+1 (826) 555-4081 190.137.223.204"))
+    assert b.startswith(a + " ") and "190.137" not in b
+
+
 def test_query_leaves_no_value_and_changes_nothing_else(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     rows = LLM_QUERIES["op2_feistel_pseudonyms"](spark, DATA).collect()
