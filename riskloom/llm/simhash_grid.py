@@ -266,21 +266,27 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) ->
 
 
 def _component_of_print(prints: DataFrame, distance: int, blocks: int) -> DataFrame:
-    """(fp, component_id) for the distinct fingerprints with their smallest identifier ``rep``."""
+    """(fp, component, component_id) for the distinct fingerprints with their smallest identifier ``rep``.
+
+    ``component`` is the component's smallest fingerprint, never null; ``component_id``
+    is null where all its identifiers are.
+    """
     known = components(links(prints.select("fp"), distance, blocks))
     named = materialize(known, "component-nodes").join(prints, F.col("node") == F.col("fp"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    linked = named.join(least, "root").select(F.col("node"), "component_id")
-    return prints.join(linked, F.col("fp") == F.col("node"), "left").select("fp", F.when(F.col("node").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id"))
+    linked = named.join(least, "root").select("node", "root", "component_id")
+    return prints.join(linked, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("component"), F.when(F.col("node").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id")
+    )
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """(id, row_hash, fp, component_id), one row per row of ``docs``."""
+    """(id, row_hash, fp, component, component_id), one row per row of ``docs``."""
     rows = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("id").alias("rep")), "distinct-fingerprints")
     # written, so that both sides of the join are plain exchanges, whose hot fingerprints Spark can split
     components_of = materialize(_component_of_print(prints, distance, blocks), "component-of-fingerprint")
-    return rows.join(components_of, "fp").select("id", "row_hash", "fp", "component_id")
+    return rows.join(components_of, "fp").select("id", "row_hash", "fp", "component", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
@@ -289,8 +295,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows that share identifier and text stay or go together.
     """
     found = materialize(near_duplicates(docs, id_col, text_col, distance, blocks), "near-duplicates")
-    stays = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "row_hash")).alias("w"))
-    gone = found.join(stays, found["component_id"].eqNullSafe(stays["component_id"])).where(
+    stays = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "row_hash")).alias("w"))
+    gone = found.join(stays, "component").where(
         ~(F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash")))
     ).select(F.col("id").alias("_sg_id"), F.col("row_hash").alias("_sg_hash")).distinct()
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_sg_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_sg_hash"))

@@ -125,6 +125,14 @@ def test_nulls_ties_empty_tables_and_extra_columns(spark):
     assert sg.near_duplicates(none).count() == 0 and sg.drop_near_copies(none).count() == 0
 
 
+def test_components_without_identifiers_stay_apart(spark):
+    one, two, three = ("the first of these reports tells of a river", "seven other people bought bread at noon", "nothing here is like any other line at all")
+    docs = spark.createDataFrame([(None, one), (None, two), (None, two), (None, three), (4, three), (5, one + " x y z " + two)], "doc_id long, text string")
+    kept = sorted((r.text, str(r.doc_id)) for r in sg.drop_near_copies(docs).collect())
+    assert kept == sorted([(one, "None"), (two, "None"), (two, "None"), (three, "4"), (one + " x y z " + two, "5")])
+    assert len({r.component for r in sg.near_duplicates(docs).collect()}) == 4
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (501, 501)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
