@@ -1,10 +1,17 @@
 """Secrets in texts: fixed patterns, and tokens that pass a battery of randomness tests.
 
-Patterns give the base spans. Every other run of 20 or more key characters is tested:
-its encoding is inferred from its characters; a chi-squared test says how far its
-characters are from a uniform use of that alphabet, a runs test whether values above
-and below the middle alternate as chance would have it, and a serial correlation test
-whether neighbours depend on each other. A token of ordinary structure (words, paths,
+Patterns give the base spans. Every other run of 20 or more key characters is tested,
+cut at each "=" that is not padding at its end, so that the value in ``NAME=value`` is
+tested alone; where no alphabet holds all its characters ("/" or "+" together with "_"
+or "-"), its longest parts of 20 or more that have one are. Not tested are values
+without a letter, values of one case that hold more than letters and digits of one
+alphabet, and values with fewer than two digits whose share of the rarer case (or, in
+one case, of digits) would be this small by chance less often than ``least_p``.
+
+A value's encoding is inferred from its characters; a chi-squared test says how far
+its characters are from a uniform use of that alphabet, a runs test whether values
+above and below the middle alternate as chance would have it, and a serial correlation
+test whether neighbours depend on each other. A token of ordinary structure (words, paths,
 counters) uses few characters often, which the chi-squared statistic shows more
 clearly the longer the token is; the probability that structure looks as even as the
 token does is its p-value. Within a document, tokens are accepted by
@@ -37,6 +44,9 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST_RUN = 20
+_VALUE = re.compile(r"[A-Za-z0-9+/_-]+(?:=+\Z)?")
+_PARTS = (re.compile(r"[A-Za-z0-9+/]+(?:=+\Z)?"), re.compile(r"[A-Za-z0-9_-]+(?:=+\Z)?"))
 
 # Alphabets by encoding, the narrowest first, in their usual order of values.
 ALPHABETS = {
@@ -61,20 +71,49 @@ class BatteryPolicy:
     least_p: float = 0.002
 
 
-def encoding(token: str) -> str | None:
+def _at_most(k: int, n: int, p: float) -> float:
+    """Probability of at most ``k`` of ``n`` characters being of a kind that has a share ``p``."""
+    return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))
+
+
+def encoding(token: str, least_p: float = 0.002) -> str | None:
     """Narrowest alphabet that holds a token; None where characters or their mix do not look like a key."""
     body = token.rstrip("=")
     chars = set(body)
     digits = sum(c.isdigit() for c in body)
-    letters = any(c.isalpha() for c in body)
-    if digits < 2 or not letters:
+    lower, upper = sum(c.islower() for c in body), sum(c.isupper() for c in body)
+    if not lower + upper:
         return None
     name = next((n for n, a in _VALUES.items() if chars <= a.keys()), None)
-    if name in ("base62", "base64", "base64url") and not (any(c.islower() for c in body) and any(c.isupper() for c in body)):
+    if name is None or name in ("base62", "base64", "base64url") and not (lower and upper):
         return None
+    if digits < 2:  # words, too, have few digits; what else they are short of must be as chance has it
+        if lower and upper:
+            p = _at_most(min(lower, upper), lower + upper, 0.5)
+        else:
+            p = _at_most(digits, len(body), sum(c.isdigit() for c in ALPHABETS[name]) / len(ALPHABETS[name]))
+        if p < least_p:
+            return None
     return name
 
 
+def tokens(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Spans to test in a run of key characters: its values, or their longest parts that have an alphabet."""
+    found = []
+    for m in _VALUE.finditer(text[start:end]):
+        chars = set(m[0].rstrip("="))
+        parts = [m.span()]
+        if chars & set("+/") and chars & set("-_"):
+            both = {(m.start() + x.start(), m.start() + x.end()) for part in _PARTS for x in part.finditer(m[0])}
+            parts, reached = [], 0
+            for a, b in sorted(both, key=lambda s: (s[0], -s[1])):
+                if b > reached:  # not inside another part
+                    parts.append((a, b))
+                    reached = b
+        found += [(start + a, start + b) for a, b in parts if b - a >= LEAST_RUN]
+    return found
+
+
 def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -134,13 +173,18 @@ def spans(text: str, policy: BatteryPolicy = BatteryPolicy()) -> list[tuple[int,
     runs = [m.span() for m in _RUN.finditer(text)]
     base = _base(text, runs)
     tested = []
-    for a, b in runs:
-        name = encoding(text[a:b])
+    for a, b in (span for run in runs for span in tokens(text, *run)):
+        name = encoding(text[a:b], policy.least_p)
         if name and not any(s < b and a < e for s, _, e in base):
             values = [_VALUES[name][c] for c in text[a:b].rstrip("=")]
             tested.append((a, b, battery(values, len(ALPHABETS[name]), policy.structure)))
     passed = accepted([t[2][0] for t in tested], [b - a for a, b, _ in tested], policy.false_share)
-    random = [(a, 3, b) for (a, b, p), ok in zip(tested, passed) if ok and min(p[1:]) >= policy.least_p]
+    random: list[tuple[int, int, int]] = []
+    for (a, b, p), ok in zip(tested, passed):
+        if ok and min(p[1:]) >= policy.least_p:
+            if random and a < random[-1][2]:  # two parts of one run that overlap
+                a = random.pop()[0]
+            random.append((a, 3, b))
     return sorted(base + random)
 
 

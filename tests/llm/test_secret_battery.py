@@ -56,6 +56,30 @@ def test_random_tokens_are_found_and_words_are_not():
     assert found >= 180 and false <= 4
 
 
+def test_keys_behind_names_and_paths_and_without_digits():
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    makers = {
+        "SIGNING_KEY=": lambda: base64.b64encode(rng.randbytes(30)).decode(),
+        "AWS_SECRET_ACCESS_KEY=": lambda: base64.b64encode(rng.randbytes(29)).decode(),  # with padding
+        "sig=": lambda: base64.urlsafe_b64encode(rng.randbytes(36)).decode(),
+        "path/to_dir/": lambda: "".join(rng.choices(letters + "0123456789", k=40)),
+        "": lambda: "".join(rng.choices(letters, k=40)),
+    }
+    for before, make in makers.items():
+        found = 0
+        for _ in range(100):
+            key = make()
+            text = f"see {before}{key} there"
+            end = 4 + len(before) + len(key)
+            found += any(k == 3 and a <= end - len(key) and b == end for a, k, b in sb.spans(text))
+        assert found >= 85, (before, found)
+    words = ["configuration", "Version", "release", "Handler", "Manager", "final", "Provider", "account"]
+    names = ["".join(rng.choices(words, k=4)) for _ in range(200)] + ["/".join(rng.choices(words, k=3)) + "_" + "".join(rng.choices(words, k=3)) for _ in range(200)]
+    assert sum(any(k == 3 for _, k, _ in sb.spans(f"see {n}={n} there")) for n in names) <= 4
+    assert sb.spans("aB" * 150_000) == [] and sb.spans("ab/c_" * 60_000) == []
+
+
 def test_battery_of_structure():
     p = sb.battery([0, 1] * 20, 16, 2.0)
     assert p[0] > 0.5 and min(p[1:]) < 1e-3
