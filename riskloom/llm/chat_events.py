@@ -10,8 +10,9 @@ A conversation is a log of events (conv_id, seq, kind, turn, role, text):
 A reverse running minimum over the log says which events are void, so that a
 conversation of any length is folded without being held in memory: what is left is
 sorted by turn and sequence, and one pass joins the pieces of a turn and renders it.
-Rows of a conversation are spread over tasks by (conversation, turn); only the last
-step, a digest that is sequential by nature, streams a conversation through one task.
+Turns are folded in tasks by (conversation, turn). Three steps stream a conversation
+through one task: numbering the rows of a table of turns, the running minimum, and the
+digest, of which only the digest is sequential by nature.
 
 Rendered turns look like ``<s>role\\ntext</s>\\n``. Control strings inside texts and
 roles get a backslash after their first character and backslashes are doubled, so
