@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, mixing, pseudonyms, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, impact_search, mixing, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import materialize, shared_dir
 
@@ -179,3 +179,36 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, directory, "pages")
     return html_crf.main_texts(pages, html_crf.fit(pages)).withColumnRenamed("id", "page_id")
+
+
+@llm_query(
+    "op11_nra_search",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), q AS (
+        SELECT item, item_id, unnest(list_distinct(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+        FROM (SELECT row_number() OVER () AS item, * FROM benchmark)
+    ), c AS (
+        SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM d WHERE len(terms) > 0
+    ), p AS (
+        SELECT row, term, CAST(count(*) AS BIGINT) AS tf
+        FROM (SELECT row, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row, term
+    ), w AS (
+        SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, c GROUP BY term, n
+    ), m AS (
+        SELECT row, doc_id, 10 + (90 * CAST(len(terms) AS BIGINT) * n) // l AS m FROM d, c WHERE len(terms) > 0
+    ), s AS (
+        SELECT item, item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM p JOIN m USING (row) JOIN w USING (term) JOIN q USING (term) GROUP BY item, item_id, row, doc_id
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+    """,
+)
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return impact_search.search_documents(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
