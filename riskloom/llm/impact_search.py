@@ -64,11 +64,11 @@ def term_chunks(data: bytes) -> Iterator[list[bytes]]:
         end = start + _CHUNK
         part = data[start:end].translate(_FOLD)
         if end < len(data):
-            cut = part.rfind(b" ")
+            cut = part.rfind(b" ", 1)
             while cut < 0 and end < len(data):  # one term longer than a chunk
                 end += _CHUNK
                 part = data[start:end].translate(_FOLD)
-                cut = part.rfind(b" ")
+                cut = part.rfind(b" ", 1)
             if end < len(data):
                 part, end = part[:cut], start + cut
         yield part.split()
