@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, impact_search, mixing, pseudonyms, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, impact_search, jaccard_join, mixing, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import materialize, shared_dir
 
@@ -212,3 +212,10 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
 def op11(spark: SparkSession, directory: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return impact_search.search_documents(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
+
+
+@llm_query("op12_jaccard_join")
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    """Set size and near-duplicate component of every document."""
+    out = jaccard_join.near_classes(table(spark, directory, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
