@@ -121,6 +121,8 @@ def _dealt(words: int, bits: int):
         def flush() -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(docs, _DEALT_SCHEMA)
             grams = np.concatenate(sets)
+            if not len(grams):
+                return
             place = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(x) for x in sets])
             order = np.argsort(grams, kind="stable")
             grams, place = grams[order], place[order]
