@@ -19,8 +19,9 @@ first ``n - ceil(t * n) + 1`` of each. Only those prefixes are joined:
 4. Pairs are made distinct, joined with both sets and verified once.
 
 Long lists of an n-gram, as large groups of near copies make them, first meet in chains
-and stars only. What these connect needs no more pairs; rows of such lists in
-different components then meet in blocks of bounded size. So links form spanning
+and stars only, then neighbours of different components in orders drawn anew. What
+these connect needs no more pairs; rows of such lists that are still in different
+components then all meet, in blocks of bounded size. So links form spanning
 forests and no two similar texts end in different components; ``every=True`` makes all
 pairs of class representatives instead.
 
@@ -55,6 +56,8 @@ COMMON = 16          # an n-gram of more documents of a shard than this travels
 PARTS = 16           # parts of the hash space in a count vector
 SCAN_RUN = 128       # longest list in which all pairs meet at once
 BLOCK_ROWS = 2048    # rows of a block when a longer list is finished in pairs of blocks
+MEETINGS = 6         # most rounds in which neighbours of long lists meet before the rest is finished in blocks
+WORTH = 8            # a round is followed by another one while one in so many of its pairs is similar
 
 _CHUNK = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -308,8 +311,8 @@ class _Rows:
         return out
 
 
-def _pairs_of(rows: _Rows, percent: int, scan: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs inside runs of one n-gram; runs longer than ``scan`` only as chain and star."""
+def _pairs_of(rows: _Rows, percent: int, scan: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Pairs inside runs of one n-gram (kind 0); of runs longer than ``scan`` only a chain and a star (kind 2)."""
     n = len(rows)
     heads = np.flatnonzero(np.append(True, rows.gram[1:] != rows.gram[:-1])) if n else np.zeros(0, int)
     sizes = np.diff(np.append(heads, n))
@@ -323,48 +326,62 @@ def _pairs_of(rows: _Rows, percent: int, scan: int) -> Iterator[tuple[np.ndarray
             i.append(hub), j.append(at)
         i, j = np.array(i + list(range(s, s + k - 1)), np.int64), np.array(j + list(range(s + 1, s + k)), np.int64)
         ok = rows.similar(i, j, percent)
-        yield i[ok], j[ok]
+        yield 2, i[ok], j[ok]
         follow[s:s + k] = 0
     act, d = np.flatnonzero(follow >= 1), 1
     while len(act):
         for at in range(0, len(act), 1 << 18):  # bounded count vectors in memory
             part = act[at:at + (1 << 18)]
             ok = rows.similar(part, part + d, percent)
-            yield part[ok], part[ok] + d
+            yield 0, part[ok], part[ok] + d
         d += 1
         # sizes ascend inside a run, so a row that is too small for one stays too small for all later ones
         act = act[follow[act] >= d]
         act = act[100 * rows.n[act] >= percent * rows.n[act + d]]
 
 
-_CANDIDATES = "kind int, a long, b long, na long, nb long"
+_CANDIDATES = "kind int, a long, b long, na long, nb long, ra long, rb long"
+
+
+def _pair_rows(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(columns[0]), kind, np.int32)), *(pa.array(c.astype(np.int64)) for c in columns)], names=["kind", "a", "b", "na", "nb", "ra", "rb"]
+    )
+
+
+class _Found:
+    """Pairs of rows, made distinct in bounded memory, as the same pair meets at many n-grams."""
+
+    def __init__(self, kind: int):
+        self.kind, self.pairs = kind, set()
+
+    def add(self, rows: _Rows, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.pairs.update(zip(*(c.tolist() for c in (rows.row[i], rows.row[j], rows.n[i], rows.n[j], rows.root[i], rows.root[j]))))
+        if len(self.pairs) > 200_000:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.pairs:
+            yield _pair_rows(self.kind, *np.array(list(self.pairs), np.int64).T)
+            self.pairs.clear()
 
 
 def _candidates(percent: int, scan: int):
-    """Pairs (kind 0); long n-grams and the partition's first and last n-gram (kind 1), which may go on next door."""
+    """Pairs (kinds 0 and 2); long n-grams and the partition's first and last n-gram (kind 1), which may go on next door."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, first = None, None
 
-        def out(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(columns[0]), kind, np.int32)), *(pa.array(c.astype(np.int64)) for c in columns)], names=["kind", "a", "b", "na", "nb"]
-            )
+        found = {0: _Found(0), 2: _Found(2)}
 
         def pairs(rows: _Rows) -> Iterator[pa.RecordBatch]:
-            found: set[tuple[int, int, int, int]] = set()  # the same pair meets at many n-grams
-            for i, j in _pairs_of(rows, percent, scan):
-                a, b = rows.row[i], rows.row[j]
-                found.update(zip(a.tolist(), b.tolist(), rows.n[i].tolist(), rows.n[j].tolist()))
-                if len(found) > 200_000:
-                    yield out(0, *np.array(list(found), np.int64).T)
-                    found = set()
-            if found:
-                yield out(0, *np.array(list(found), np.int64).T)
+            for kind, i, j in _pairs_of(rows, percent, scan):
+                yield from found[kind].add(rows, i, j)
             names, counts = np.unique(rows.gram, return_counts=True)
             names = names[counts > scan]
-            zero = np.zeros(len(names), np.int64)
-            yield out(1, names, zero - 1, zero, zero)
+            if len(names):
+                zero = np.zeros(len(names), np.int64)
+                yield _pair_rows(1, names, zero - 1, zero, zero, zero, zero)
 
         for b in batches:
             if not b.num_rows:
@@ -379,8 +396,27 @@ def _candidates(percent: int, scan: int):
         if left is not None:
             yield from pairs(left)
             ends = np.unique(np.array([first, left.gram[-1]], np.int64))
-            part = np.full(len(ends), TaskContext.get().partitionId(), np.int64)
-            yield out(1, ends, part, np.zeros(len(ends)), np.zeros(len(ends)))
+            zero = np.zeros(len(ends), np.int64)
+            yield _pair_rows(1, ends, zero + TaskContext.get().partitionId(), zero, zero, zero, zero)
+        for kind in found.values():
+            yield from kind.flush()
+
+    return run
+
+
+def _neighbours(percent: int):
+    """Pairs (kind 2) of neighbouring rows of one n-gram whose roots differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Found(2)
+        for b in batches:
+            rows = _Rows.of(b)
+            i = np.flatnonzero(rows.gram[1:] == rows.gram[:-1])
+            small = np.where(rows.n[i] <= rows.n[i + 1], i, i + 1)
+            large = 2 * i + 1 - small
+            ok = rows.similar(small, large, percent)
+            yield from found.add(rows, small[ok], large[ok])
+        yield from found.flush()
 
     return run
 
@@ -391,28 +427,48 @@ _JOINED = ("gram", "n", "row", "place", "data", "root")
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a, c, na, nb = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            a, na, nb = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 2, 3))
             least = _least_common(na, nb, percent)
             ok, last, set_a = np.zeros(len(a), bool), None, None
-            for k, (x, y) in enumerate(zip(b.column(4), b.column(5))):
+            for k, (x, y) in enumerate(zip(b.column(6), b.column(7))):
                 if last != a[k]:
                     last, set_a = a[k], _unpacked(x.as_py(), np.uint64)[0]
                 ok[k] = len(np.intersect1d(set_a, _unpacked(y.as_py(), np.uint64)[0], assume_unique=True)) >= least[k]
-            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(c[ok])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(ok)) for k in (0, 1, 4, 5)], names=["a", "b", "ra", "rb"])
 
     return run
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb) whose sets are similar."""
+    """Pairs whose sets are similar, with their roots."""
     left = sets.select(F.col("row").alias("a"), F.col("data").alias("set_a"))
     right = sets.select(F.col("row").alias("b"), F.col("data").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "set_a", "set_b")
-    return joined.mapInArrow(_verified(percent), "a long, b long")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ra", "rb", "set_a", "set_b")
+    return joined.mapInArrow(_verified(percent), "a long, b long, ra long, rb long")
 
 
 def _distinct_pairs(found: DataFrame) -> DataFrame:
-    return found.where("kind = 0").groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))
+    """Every pair once; of the pairs of long lists only each row's first and last partner, as their rows meet again."""
+    partner = F.struct("na", "a", "nb", "ra", "rb")
+    ends = found.where("kind = 2").groupBy("b").agg(F.min(partner).alias("first"), F.max(partner).alias("last"))
+    ends = ends.select(F.explode(F.array("first", "last")).alias("p"), "b").select("p.a", "b", "p.na", "p.nb", "p.ra", "p.rb")
+    pairs = found.where("kind = 0").select("a", "b", "na", "nb", "ra", "rb").unionByName(ends)
+    return pairs.groupBy("a", "b").agg(*(F.first(c).alias(c) for c in ("na", "nb", "ra", "rb")))
+
+
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the lists that hold two components or more."""
+    apart = rows.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gram")
+    # written, so that both sides of later joins are plain exchanges, whose hot n-grams Spark can split
+    return materialize(rows.join(apart, "gram", "left_semi"), "open-rows")
+
+
+def _relabelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows with the roots that edges between roots (ra, rb) lead to."""
+    known = materialize(components(edges.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "known-components").withColumnRenamed("root", "new_root")
+    return rows.join(known, F.col("root") == F.col("node"), "left").select(
+        "gram", "n", "row", "place", "data", F.coalesce("new_root", "root").alias("root")
+    )
 
 
 def _in_blocks(rows: DataFrame, percent: int) -> DataFrame:
@@ -432,21 +488,26 @@ def similar_pairs(prefixes: DataFrame, percent: int = PERCENT, every: bool = Fal
     grams = prefixes.where("kind = 0").select("gram", "n", "row", "place", "data", F.col("row").alias("root"))
     ordered = grams.repartitionByRange("gram", "n", "row").sortWithinPartitions("gram", "n", "row")
     found = materialize(ordered.select(*_JOINED).mapInArrow(_candidates(percent, SCAN_RUN), _CANDIDATES), "gram-pairs")
-    edges = materialize(_similar(_distinct_pairs(found), sets, percent), "similar-pairs")
+    new = materialize(_similar(_distinct_pairs(found), sets, percent), "similar-pairs")
+    edges = new.select("a", "b")
     unfinished = found.where("kind = 1").groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("parts"))
     unfinished = unfinished.where("least < 0 OR parts > 1").select(F.col("a").alias("gram"))
     rows = grams.join(unfinished, "gram", "left_semi")
     if not every:
-        known = materialize(components(edges), "known-components")
-        rows = rows.drop("root").join(known, F.col("row") == F.col("node"), "left").select(
-            "gram", "n", "row", "place", "data", F.coalesce("root", "row").alias("root")
-        )
-        # written, so that both sides of the join are plain exchanges, whose hot n-grams Spark can split
-        rows = materialize(rows, "unfinished-rows")
-        apart = rows.groupBy("gram").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("gram")
-        rows = rows.join(apart, "gram", "left_semi")
+        rows = _open_rows(_relabelled(rows, new))
+        for turn in range(MEETINGS):
+            # in an order drawn anew each time, neighbours of different components meet; what they join needs no pairs later
+            mixed = F.xxhash64("row", F.lit(turn))
+            met = rows.repartitionByRange("gram", mixed).sortWithinPartitions("gram", mixed).select(*_JOINED)
+            tried = materialize(_distinct_pairs(met.mapInArrow(_neighbours(percent), _CANDIDATES)), "neighbour-pairs")
+            new = materialize(_similar(tried, sets, percent), "similar-pairs")
+            if new.count() * WORTH < tried.count() or not new.count():
+                edges = edges.unionByName(new.select("a", "b"))
+                break
+            edges = edges.unionByName(new.select("a", "b"))
+            rows = _open_rows(_relabelled(rows, new))
     more = _distinct_pairs(_in_blocks(rows, percent)).join(edges, ["a", "b"], "left_anti")
-    return edges.unionByName(materialize(_similar(more, sets, percent), "similar-pairs"))
+    return edges.unionByName(materialize(_similar(more, sets, percent).select("a", "b"), "similar-pairs"))
 
 
 # ---- documents ------------------------------------------------------------------------------
@@ -456,12 +517,13 @@ def shared_grams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Documents (kind 0) and the n-grams they share with others, by shard (kinds 1 and 2), as one written table."""
     text = F.col(text_col).cast("string")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1.0, size / 6 / RANGE_GRAMS))))
+    # a word has about six bytes; no fewer ranges than the exchange has partitions
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = math.ceil(math.log2(max(1.0, partitions, size / 6 / RANGE_GRAMS)))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
     dealt = rows.mapInArrow(_dealt(words, bits), _DEALT)
-    parts = max(1 << bits, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # kinds share the exchange; documents go by row, n-grams by range
-    ordered = dealt.repartition(parts, "range").sortWithinPartitions("kind", "range")
+    ordered = dealt.repartition(1 << bits, "range").sortWithinPartitions("kind", "range")
     return materialize(ordered.mapInArrow(_counted, _DEALT), "shared-grams")
 
 
