@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, impact_search, jaccard_join, mixing, pseudonyms, secret_battery, simhash_grid, token_store
+from riskloom.llm import bpe_matrix, chat_events, content_sort, host_rules, html_crf, impact_search, jaccard_join, mixing, phrase_automata, pseudonyms, secret_battery, simhash_grid, token_store
 from riskloom.llm.common import table
 from riskloom.session import materialize, shared_dir
 
@@ -219,3 +219,39 @@ def op12(spark: SparkSession, directory: str) -> DataFrame:
     """Set size and near-duplicate component of every document."""
     out = jaccard_join.near_classes(table(spark, directory, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@llm_query(
+    "op13_phrase_automata",
+    r"""
+    WITH t AS (
+        SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ), p AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
+        FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM t)
+    ), at AS (
+        SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS len FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p)
+    ), g AS (
+        SELECT lang, array_to_string(w[i:i + len - 1], ' ') AS phrase, len, CAST(count(*) AS BIGINT) AS f FROM at GROUP BY ALL HAVING count(*) >= 100
+    ), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
+    ), cand AS (
+        SELECT * FROM g c WHERE len > 1 AND NOT EXISTS (
+            SELECT 1 FROM g b WHERE b.lang = c.lang AND b.len > c.len AND 100 * b.f >= 100 * c.f AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))
+    ), cut AS (
+        SELECT *, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, len)) AS k FROM cand)
+    ), s AS (
+        SELECT cut.lang, cut.phrase, cut.f AS a, k, h.f AS l, t.f AS r, n, (1000::HUGEINT * cut.f * n) // (h.f::HUGEINT * t.f) AS score
+        FROM cut JOIN g h ON h.lang = cut.lang AND h.phrase = head JOIN g t ON t.lang = cut.lang AND t.phrase = tail JOIN n ON n.lang = cut.lang
+    ), low AS (
+        SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low) WHERE rank <= 2000
+    """,
+)
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    """The best phrases of every language."""
+    return phrase_automata.collocations(table(spark, directory, "documents"))
