@@ -18,8 +18,8 @@ first ``n - ceil(t * n) + 1`` of each. Only those prefixes are joined:
    common ones (suffix filter). The first common n-gram of a similar pair passes all.
 4. Pairs are made distinct, joined with both sets and verified once.
 
-Long lists of an n-gram, as large groups of near copies make them, first meet in chains
-and stars only, then neighbours of different components in orders drawn anew. What
+Long lists of an n-gram, as large groups of near copies make them, first meet in stars
+and with a few neighbours only, then neighbours of different components in orders drawn anew. What
 these connect needs no more pairs; rows of such lists that are still in different
 components then all meet, in blocks of bounded size. So links form spanning
 forests and no two similar texts end in different components; ``every=True`` makes all
@@ -56,7 +56,9 @@ COMMON = 16          # an n-gram of more documents of a shard than this travels
 PARTS = 16           # parts of the hash space in a count vector
 SCAN_RUN = 128       # longest list in which all pairs meet at once
 BLOCK_ROWS = 2048    # rows of a block when a longer list is finished in pairs of blocks
-MEETINGS = 6         # most rounds in which neighbours of long lists meet before the rest is finished in blocks
+NEAR = 4             # neighbours that a row of a longer list meets at once, besides the star's centre
+PARTNERS = 8         # pairs of longer lists that are verified for a row at once
+MEETINGS = 1         # most rounds in which neighbours of long lists meet before the rest is finished in blocks
 WORTH = 8            # a round is followed by another one while one in so many of its pairs is similar
 
 _CHUNK = 1 << 20
@@ -312,7 +314,7 @@ class _Rows:
 
 
 def _pairs_of(rows: _Rows, percent: int, scan: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Pairs inside runs of one n-gram (kind 0); of runs longer than ``scan`` only a chain and a star (kind 2)."""
+    """Pairs inside runs of one n-gram (kind 0); of runs longer than ``scan`` only stars and a few neighbours (kind 2)."""
     n = len(rows)
     heads = np.flatnonzero(np.append(True, rows.gram[1:] != rows.gram[:-1])) if n else np.zeros(0, int)
     sizes = np.diff(np.append(heads, n))
@@ -324,7 +326,9 @@ def _pairs_of(rows: _Rows, percent: int, scan: int) -> Iterator[tuple[int, np.nd
                 hub = at
                 continue
             i.append(hub), j.append(at)
-        i, j = np.array(i + list(range(s, s + k - 1)), np.int64), np.array(j + list(range(s + 1, s + k)), np.int64)
+        for d in range(1, NEAR + 1):
+            i.extend(range(s, s + k - d)), j.extend(range(s + d, s + k))
+        i, j = np.array(i, np.int64), np.array(j, np.int64)
         ok = rows.similar(i, j, percent)
         yield 2, i[ok], j[ok]
         follow[s:s + k] = 0
@@ -448,10 +452,10 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _distinct_pairs(found: DataFrame) -> DataFrame:
-    """Every pair once; of the pairs of long lists only each row's first and last partner, as their rows meet again."""
-    partner = F.struct("na", "a", "nb", "ra", "rb")
-    ends = found.where("kind = 2").groupBy("b").agg(F.min(partner).alias("first"), F.max(partner).alias("last"))
-    ends = ends.select(F.explode(F.array("first", "last")).alias("p"), "b").select("p.a", "b", "p.na", "p.nb", "p.ra", "p.rb")
+    """Every pair once; of the pairs of long lists a few for each row, drawn by hash, as their rows meet again."""
+    # a row's pairs are at most a few for each n-gram of its prefix
+    met = found.where("kind = 2").groupBy("b").agg(F.collect_set(F.struct(F.xxhash64("a", "b").alias("draw"), "a", "na", "nb", "ra", "rb")).alias("p"))
+    ends = met.select(F.explode(F.slice(F.sort_array("p"), 1, PARTNERS)).alias("p"), "b").select("p.a", "b", "p.na", "p.nb", "p.ra", "p.rb")
     pairs = found.where("kind = 0").select("a", "b", "na", "nb", "ra", "rb").unionByName(ends)
     return pairs.groupBy("a", "b").agg(*(F.first(c).alias(c) for c in ("na", "nb", "ra", "rb")))
 
