@@ -1,15 +1,16 @@
 """Phrase collocations mined with weighted acyclic automata.
 
 Each task reads a shard of words per language, sorts its windows of up to five words
-(one begins at every word and ends with its piece) and builds a count transducer from
-the sorted windows: an arc's weight is the number of windows that pass it, so the weight
-of a path is the frequency of that phrase in the shard. States with a single way out are
-shared where label, weight and target agree, which folds the long tails of windows that
-occur once. Windows drawn from the shards give splitters; every transducer is cut at
-them, and the transducers of one prefix range are united with their weights summed, a
-bounded number of windows at a time. What a range keeps are its frequent paths and the
-paths along its own ends, which the neighbouring range may share and which are summed
-afterwards. A common first word therefore spans many ranges.
+(one begins at every word and ends with its piece) and builds count transducers from the
+sorted windows: an arc's weight is the number of windows that pass it, so the weight of
+a path is the frequency of that phrase in the shard. States with a single way out of
+weight 1 are shared where label and target agree, which folds the long tails of windows
+that occur once. Windows of a bounded sample of documents give splitters; a shard has one
+transducer for each prefix range between them, and those of one range are united with
+their weights summed, a bounded number of windows at a time. What a range keeps are its
+frequent paths and the paths along its own ends, which the neighbouring range may share
+and which are summed afterwards. A common first word therefore spans many ranges; the
+sample decides where ranges begin, never what is counted.
 
 A candidate is then composed with the counts of its parts: every cut asks for the
 weights of both sides, a join that Spark splits at hot parts. Products are exact
@@ -39,11 +40,11 @@ LENGTH = 5           # words of the longest phrase
 MIN_COUNT = 100      # least frequency of a candidate
 BEST = 2000          # phrases a language
 ABSORBED = 100       # per cent of a candidate's frequency at which a longer one replaces it
-SHARD_WORDS = 1_000_000   # words of a shard
-RANGE_WINDOWS = 2_000_000  # windows of a prefix range, about
-MERGE_WINDOWS = 4_000_000  # windows held before they are united
-SAMPLES = 64         # windows drawn from a shard
-SAMPLE_SHARDS = 4000  # shards, at most about, whose drawn windows give the splitters
+SHARD_WORDS = 600_000      # words of a shard
+RANGE_WINDOWS = 1_000_000  # windows of a prefix range, about
+MERGE_WINDOWS = 2_000_000  # windows held before they are united
+SAMPLE_BYTES = 32_000_000  # text, about, whose windows give the splitters
+SAMPLES = 20_000           # windows that reach the driver for it, at most about
 
 # Pieces end at these characters, words at spaces and tabs.
 _FOLD = bytearray(bytes(range(256)).lower())
@@ -69,8 +70,8 @@ def _sorted_sums(columns: list[np.ndarray], counts: np.ndarray, size: int) -> tu
     per = max(1, 63 // bits)
     keys = []
     for at in range(0, len(columns), per):
-        key = np.zeros(len(counts), np.int64)
-        for c in columns[at:at + per]:
+        key = columns[at].astype(np.int64)
+        for c in columns[at + 1:at + per]:
             key = (key << bits) | c
         keys.append(key)
     order = np.lexsort(keys[::-1])
@@ -107,7 +108,7 @@ class Bag:
     @classmethod
     def of_stream(cls, names: list[bytes], stream: np.ndarray) -> "Bag":
         """``stream`` has 0 between pieces, else 1 + position in ``names``."""
-        rank = np.zeros(len(names) + 1, np.int64)
+        rank = np.zeros(len(names) + 1, np.int32)
         rank[1 + np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)] = np.arange(1, len(names) + 1)
         columns = _windows(rank[stream])
         return cls(sorted(names), *_sorted_sums(columns, np.ones(len(columns[0]), np.int64), len(names) + 1))
@@ -120,7 +121,7 @@ class Bag:
         at = {w: k + 1 for k, w in enumerate(words)}
         columns: list[list[np.ndarray]] = [[] for _ in range(LENGTH)]
         for b in bags:
-            label = np.array([0, *(at[w] for w in b.words)], np.int64)
+            label = np.array([0, *(at[w] for w in b.words)], np.int32)
             for all_, own in zip(columns, b.columns):
                 all_.append(label[own])
         counts = np.concatenate([b.counts for b in bags])
@@ -129,9 +130,11 @@ class Bag:
     def part(self, start: int, end: int) -> "Bag":
         """Windows start..end with the words they use."""
         columns = [c[start:end] for c in self.columns]
-        used = np.unique(np.concatenate(columns))
-        used = used[used > 0]
-        label = np.zeros(len(self.words) + 1, np.int64)
+        label = np.zeros(len(self.words) + 1, np.int32)
+        for c in columns:
+            label[c] = 1
+        label[0] = 0
+        used = np.flatnonzero(label)
         label[used] = np.arange(1, len(used) + 1)
         return Bag([self.words[k - 1] for k in used], [label[c] for c in columns], self.counts[start:end])
 
@@ -185,45 +188,34 @@ def _unpacked(data: bytes, n: int) -> list[np.ndarray]:
 
 def build(bag: Bag) -> bytes:
     """The count transducer of sorted windows: words, then for each depth arcs a state, labels, weights and targets."""
-    levels = []
+    numbers = [np.zeros(len(bag), np.int32)]   # of the distinct prefixes of each length, that is of the states
     head = np.zeros(len(bag), bool)
     head[:1] = True
     for c in bag.columns:
-        above = head.copy()
         head[1:] |= c[1:] != c[:-1]
-        arcs = np.flatnonzero(head)
-        weight = np.add.reduceat(bag.counts, arcs) if len(arcs) else bag.counts[:0]
-        some = c[arcs] > 0
-        # a state is a distinct prefix; windows that end here have no arc
-        state = (np.cumsum(above) - 1)[arcs]
-        levels.append((int(above.sum()), state[some], c[arcs][some], weight[some], arcs[some]))
+        numbers.append(np.cumsum(head, dtype=np.int32) - 1)
     stored: list[np.ndarray] = []
-    target_of = None   # of the states of the level below, which are numbered by distinct prefix
+    target_of = np.zeros(len(bag), np.int64)   # of the states one level deeper
     for depth in range(LENGTH - 1, -1, -1):
-        states, state, label, weight, first = levels[depth]
-        if target_of is None:
-            target = np.zeros(len(label), np.int64)
-        else:
-            # the state an arc leads to is its prefix's number at the next depth
-            heads = np.zeros(len(bag), bool)
-            heads[:1] = True
-            for c in bag.columns[:depth + 1]:
-                heads[1:] |= c[1:] != c[:-1]
-            target = target_of[(np.cumsum(heads) - 1)[first]]
-        out = np.bincount(state, minlength=states)
+        above, below = numbers[depth], numbers[depth + 1]
+        arcs = np.flatnonzero(np.diff(below, prepend=-1))
+        weight = np.add.reduceat(bag.counts, arcs) if len(arcs) else bag.counts[:0]
+        some = bag.columns[depth][arcs] > 0     # windows that end here have no arc
+        arcs, weight = arcs[some], weight[some]
+        label, target = bag.columns[depth][arcs].astype(np.int64), target_of[below[arcs]] if depth < LENGTH - 1 else np.zeros(len(arcs), np.int64)
+        states = int(above[-1]) + 1 if len(above) else 0
+        out = np.bincount(above[arcs], minlength=states)
         starts = np.cumsum(out) - out
         single = np.flatnonzero(out == 1)
+        single = single[weight[starts[single]] == 1]
         arc = starts[single]
-        key = np.stack([label[arc], weight[arc], target[arc]])
-        order = np.lexsort(key)
-        differs = np.ones(len(order), bool)
-        differs[1:] = (key[:, order[1:]] != key[:, order[:-1]]).any(axis=0)
-        # the first of equal single-arc states stands for all
+        key = label[arc] * (int(target.max(initial=0)) + 1) + target[arc]
+        _, first, same = np.unique(key, return_index=True, return_inverse=True)
+        # the first of equal states stands for all
         stands = np.arange(states)
-        stands[single[order]] = single[order[differs]][np.cumsum(differs) - 1]
+        stands[single] = single[first][same]
         kept = stands == np.arange(states)
-        number = np.cumsum(kept) - 1
-        target_of = number[stands]
+        target_of = (np.cumsum(kept) - 1)[stands]
         keep_arc = np.repeat(kept, out)
         stored = [out[kept], label[keep_arc], weight[keep_arc], target[keep_arc], *stored]
     return zstandard.compress(b"\n".join(bag.words), 1) + b"\x00ARCS" + _packed(stored)
@@ -262,71 +254,79 @@ def expand(data: bytes) -> Bag:
 
 # ---- shards, ranges and union ---------------------------------------------------------------
 
-_SHARDS = "lang string, words long, windows long, samples array<string>, automaton binary"
-_RANGES = "lang string, part long, automaton binary"
+# part -1 has the number of words instead of a transducer
+_RANGES = "lang string, part long, words long, automaton binary"
+_RANGES_SCHEMA = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("words", pa.int64()), ("automaton", pa.binary())])
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """Parts of a text that end with a piece, about a megabyte each."""
+    data, start = data.translate(_FOLD), 0
+    while start < len(data):
+        end = data.find(b"\n", start + _CHUNK) + 1 or len(data)
+        yield data[start:end]
+        start = end
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A transducer for each language and about ``SHARD_WORDS`` words."""
+def _shard_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Bag]]:
+    """(language, words, windows) of about ``SHARD_WORDS`` words each."""
     streams: dict[str, tuple[_Codes, list[np.ndarray], list[int]]] = {}
 
-    def flush(lang: str) -> pa.RecordBatch:
+    def flush(lang: str) -> tuple[str, int, Bag]:
         codes, parts, held = streams.pop(lang)
-        names = list(codes)[1:]  # the first code is the piece end
-        bag = Bag.of_stream(names, np.concatenate(parts))
-        drawn = np.unique(np.linspace(0, len(bag) - 1, SAMPLES).astype(np.int64)) if len(bag) else []
-        row = {"lang": lang, "words": held[0], "windows": len(bag), "samples": [bag.text(k).decode() for k in drawn], "automaton": build(bag)}
-        return pa.RecordBatch.from_pylist([row], pa.schema([
-            ("lang", pa.string()), ("words", pa.int64()), ("windows", pa.int64()), ("samples", pa.list_(pa.string())), ("automaton", pa.binary())
-        ]))
-
-    def pieces(data: bytes) -> Iterator[bytes]:
-        """Parts of a long text that end with a piece."""
-        data, start = data.translate(_FOLD), 0
-        while start < len(data):
-            end = data.find(b"\n", start + _CHUNK) + 1 or len(data)
-            yield data[start:end]
-            start = end
+        return lang, held[0], Bag.of_stream(list(codes)[1:], np.concatenate(parts))  # the first code is the piece end
 
     for b in batches:
         texts = b.column(1).cast(pa.large_string()).cast(pa.large_binary())
         for lang, text in zip(b.column(0).to_pylist(), texts):
-            for data in pieces(text.as_py() or b""):
+            for data in _pieces(text.as_py() or b""):
                 if lang not in streams:
                     codes = _Codes()
                     codes[b"\n"]
                     streams[lang] = codes, [], [0]
                 codes, parts, held = streams[lang]
                 tokens = data.replace(b"\n", b" \n ").split(b" ")
-                stream = np.fromiter((codes[t] for t in tokens if t), np.int64)
-                parts.append(np.append(stream, 0))
-                held[0] += int((stream > 0).sum())
+                stream = np.fromiter(map(codes.__getitem__, filter(None, tokens)), np.int32)
+                parts.append(np.append(stream, np.int32(0)))
+                held[0] += int(np.count_nonzero(stream))
                 if held[0] >= SHARD_WORDS:
                     yield flush(lang)
     for lang in list(streams):
         yield flush(lang)
 
 
-def _cut(splitters: dict[str, list[list[bytes]]]):
-    """The transducers of a shard's prefix ranges."""
+def _dealt(splitters: dict[str, list[list[bytes]]]):
+    """A transducer for each shard and prefix range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                lang, bag = b.column(0)[r].as_py(), expand(b.column(1)[r].as_py())
-                at = [0, *(bag.place(s) for s in splitters.get(lang, [])), len(bag)]
-                rows = [
-                    {"lang": lang, "part": k, "automaton": build(bag.part(s, e))}
-                    for k, (s, e) in enumerate(zip(at, at[1:])) if s < e
-                ]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, pa.schema([("lang", pa.string()), ("part", pa.int64()), ("automaton", pa.binary())]))
+        for lang, words, bag in _shard_bags(batches):
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "part": -1, "words": words}], _RANGES_SCHEMA)
+            at = [0, *(bag.place(s) for s in splitters.get(lang, [])), len(bag)]
+            for k, (s, e) in enumerate(zip(at, at[1:])):
+                if s < e:
+                    yield pa.RecordBatch.from_pylist([{"lang": lang, "part": k, "words": 0, "automaton": build(bag.part(s, e))}], _RANGES_SCHEMA)
+
+    return run
+
+
+def _drawn(step: int):
+    """Every so many windows, in order, of the sampled shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, bag in _shard_bags(batches):
+            rows = range(step // 2, len(bag), step)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows)), pa.array([bag.text(k).decode() for k in rows], pa.string())], names=["lang", "window"]
+            )
 
     return run
 
 
+_COUNTED = ["lang", "phrase", "length", "weight"]
+
+
 def _united(splitters: dict[str, list[list[bytes]]], least: int):
-    """(lang, phrase, length, weight) of each range: frequent phrases, and those at its ends, whatever their weight."""
+    """(lang, phrase, length, weight) of each range: frequent phrases, and those at its ends, whatever their weight; length 0 counts words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, bags, held = None, [], 0
@@ -345,7 +345,7 @@ def _united(splitters: dict[str, list[list[bytes]]], least: int):
                     phrases = [bag.text(int(k), length).decode() for k in rows]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(rows)), pa.array(phrases), pa.array(np.full(len(rows), length, np.int64)), pa.array(weight[keep])],
-                        names=["lang", "phrase", "length", "weight"],
+                        names=_COUNTED,
                     )
 
         for b in batches:
@@ -355,7 +355,10 @@ def _united(splitters: dict[str, list[list[bytes]]], least: int):
                     yield from close()
                     bags, held = [], 0
                 now = at
-                bags.append(expand(b.column(2)[r].as_py()))
+                if at[1] < 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([""]), pa.array([0]), b.column(2).slice(r, 1)], names=_COUNTED)
+                    continue
+                bags.append(expand(b.column(3)[r].as_py()))
                 held += len(bags[-1])
                 if held > MERGE_WINDOWS and len(bags) > 1:
                     bags = [Bag.union(bags)]
@@ -366,20 +369,21 @@ def _united(splitters: dict[str, list[list[bytes]]], least: int):
     return run
 
 
-def _splitters(shards: DataFrame) -> dict[str, list[list[bytes]]]:
-    """Windows that cut every language into ranges of about equal numbers of windows, from a bounded sample."""
-    totals = {r["lang"]: (r["w"], r["n"]) for r in shards.groupBy("lang").agg(F.sum("windows").alias("w"), F.count(F.lit(1)).alias("n")).collect()
-              if r["w"] > RANGE_WINDOWS}  # a language that needs cutting has that many windows
+def _splitters(rows: DataFrame) -> dict[str, list[list[bytes]]]:
+    """Windows that cut every language into ranges of about equal numbers of windows, from a bounded sample of documents."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    every = max(1, size // SAMPLE_BYTES)
+    step = max(1, min(size, SAMPLE_BYTES) // 5 // SAMPLES)
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    drawn = sample.mapInArrow(_drawn(step), "lang string, window string").collect()  # about SAMPLES windows
+    marks: dict[str, list[list[bytes]]] = {}
+    for r in drawn:
+        marks.setdefault(r["lang"], []).append(r["window"].encode().split(b" "))
     out = {}
-    for lang, (windows, n) in totals.items():
-        every = max(1, n // SAMPLE_SHARDS)
-        drawn = shards.where((F.col("lang") == lang) & (F.pmod(F.xxhash64("automaton"), F.lit(every)) == 0)) if every > 1 else shards.where(F.col("lang") == lang)
-        rows = drawn.select("samples", "windows").collect()
-        marks = sorted((s.encode().split(b" "), r["windows"] / len(r["samples"])) for r in rows for s in r["samples"])
-        reach = np.cumsum([w for _, w in marks])
-        parts = -(-windows // RANGE_WINDOWS)
-        at = np.searchsorted(reach, reach[-1] * np.arange(1, parts) / parts) if len(marks) else []
-        cuts = sorted({tuple(marks[k][0]) for k in at})
+    for lang, own in marks.items():
+        own.sort()
+        parts = min(len(own), -(-len(own) * step * every // RANGE_WINDOWS))
+        cuts = sorted({tuple(own[len(own) * k // parts]) for k in range(1, parts)})
         out[lang] = [list(c) for c in cuts]
     return out
 
@@ -387,13 +391,14 @@ def _splitters(shards: DataFrame) -> dict[str, list[list[bytes]]]:
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, length, f) of phrases with a frequency of at least ``least``, (lang, n) words)."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    shards = materialize(rows.mapInArrow(_shards, _SHARDS), "phrase-shards")
-    splitters = _splitters(shards)
-    cut = shards.select("lang", "automaton").mapInArrow(_cut(splitters), _RANGES)
-    ordered = cut.repartition("lang", "part").sortWithinPartitions("lang", "part")
+    splitters = _splitters(rows)
+    ranges = sum(len(c) + 1 for c in splitters.values())
+    parts = max(ranges, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.mapInArrow(_dealt(splitters), _RANGES).repartition(parts, "lang", "part").sortWithinPartitions("lang", "part")
     united = ordered.mapInArrow(_united(splitters, least), "lang string, phrase string, length long, weight long")
-    counts = united.groupBy("lang", "phrase", "length").agg(F.sum("weight").alias("f")).where(F.col("f") >= least)
-    return materialize(counts, "phrase-counts"), shards.groupBy("lang").agg(F.sum("words").alias("n"))
+    counts = united.groupBy("lang", "phrase", "length").agg(F.sum("weight").alias("f")).where((F.col("f") >= least) | (F.col("length") == 0))
+    stored = materialize(counts, "phrase-counts")
+    return stored.where("length > 0"), stored.where("length = 0").select("lang", F.col("f").alias("n"))
 
 
 def _words(start: int | Column, length: Column) -> Column:

@@ -231,10 +231,10 @@ def op12(spark: SparkSession, directory: str) -> DataFrame:
     ), p AS (
         SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
         FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM t)
-    ), at AS (
+    ), spans AS (
         SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS len FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p)
     ), g AS (
-        SELECT lang, array_to_string(w[i:i + len - 1], ' ') AS phrase, len, CAST(count(*) AS BIGINT) AS f FROM at GROUP BY ALL HAVING count(*) >= 100
+        SELECT lang, array_to_string(w[i:i + len - 1], ' ') AS phrase, len, CAST(count(*) AS BIGINT) AS f FROM spans GROUP BY ALL HAVING count(*) >= 100
     ), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
     ), cand AS (
         SELECT * FROM g c WHERE len > 1 AND NOT EXISTS (

@@ -78,7 +78,7 @@ def test_small_ranges_give_the_same(spark, monkeypatch):
     want = plain_collocations(docs, 5, 50)
     frame = spark.createDataFrame(docs, "lang string, text string").repartition(4)
     assert as_rows(pa_.collocations(frame, least=5, best=50)) == want
-    for name, value in {"SHARD_WORDS": 300, "RANGE_WINDOWS": 40, "MERGE_WINDOWS": 100, "SAMPLES": 16}.items():
+    for name, value in {"SHARD_WORDS": 300, "RANGE_WINDOWS": 40, "MERGE_WINDOWS": 100, "SAMPLE_BYTES": 9000}.items():
         monkeypatch.setattr(pa_, name, value)
     assert as_rows(pa_.collocations(frame, least=5, best=50)) == want
 
