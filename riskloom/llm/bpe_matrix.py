@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +27,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.chunks import ChunkCache, gathered, text_runs
+from riskloom.llm.chunks import ChunkCache, gathered, spread, text_runs
+from riskloom.llm.common import tidy
 
 NO_PAIR = np.int32(2**31 - 1)
 WIDTHS = (2, 4, 6, 8, 12, 16, 24, 32, 64, 128, 256)
-MATRIX_CELLS = 1 << 21
-CACHED_CHUNKS = 500_000
+MATRIX_CELLS = 1 << 19
+CACHED_CHUNKS = 200_000
 
-_SLOT_BITS = 21
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,17 +42,17 @@ class PairTable:
     """Rank of a pair of adjacent ids, looked up by hash with linear probing."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        pairs: dict[int, int] = {}
+        lefts, joins = array("q"), array("i")
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.bits = max(_SLOT_BITS, (2 * len(pairs)).bit_length())
+                    lefts.append(a << 32 | b)
+                    joins.append(rank)
+        self.bits = (2 * len(lefts)).bit_length()
         self.keys = np.full(1 << self.bits, 2**64 - 1, np.uint64)
         self.ranks = np.full(1 << self.bits, NO_PAIR, np.int32)
-        keys = np.fromiter(pairs.keys(), np.uint64, len(pairs))
-        ranks_of = np.fromiter(pairs.values(), np.int32, len(pairs))
+        keys, ranks_of = np.array(lefts, np.uint64), np.array(joins, np.int32)
         slots = self._slots(keys)
         while len(keys):
             free = self.keys[slots] == 2**64 - 1
@@ -88,11 +89,16 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        # token bytes by rank, as one run with offsets
+        by_rank = [b""] * (1 + max(self.ranks.values()))
+        for token, rank in self.ranks.items():
+            by_rank[rank] = token
+        self.token_sizes = np.fromiter(map(len, by_rank), np.int64, len(by_rank))
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        self.token_bytes = np.frombuffer(b"".join(by_rank), np.uint8)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         self.pattern = regex.compile(pattern)
-        self.decimals = {rank: str(rank) for rank in self.bytes_of}
         self.later = ChunkCache(lambda chunks: self._chunk_ids([" " + c for c in chunks]), CACHED_CHUNKS)
 
     # -- pieces
@@ -165,7 +171,7 @@ class Codec:
 
         def again(i: int) -> None:
             j = after[i]
-            joined = self.ranks.get(self.bytes_of[ids[i]] + self.bytes_of[ids[j]]) if j < n else None
+            joined = self.ranks.get(self.token(ids[i]) + self.token(ids[j])) if j < n else None
             rank[i] = int(NO_PAIR) if joined is None else joined
             if joined is not None:
                 heapq.heappush(heap, (joined, i))
@@ -196,12 +202,16 @@ class Codec:
         """Ids of whole texts."""
         return gathered(texts, self._chunk_ids, self.later)
 
+    def token(self, rank: int) -> bytes:
+        start = int(self.token_starts[rank])
+        return self.token_bytes[start:start + int(self.token_sizes[rank])].tobytes()
+
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        return self.token_bytes[spread(self.token_starts[ids], self.token_sizes[ids])].tobytes()
 
     def joined(self, ids: np.ndarray) -> str:
         """Decimal ids with a space between."""
-        return " ".join(map(self.decimals.__getitem__, ids.tolist()))
+        return " ".join(map(str, ids.tolist()))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -219,7 +229,7 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 
 def _encoded_runs(c: Codec, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -243,7 +253,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(offsets), flat)], names=["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, ids array<int>")
+    return rows.mapInArrow(tidy(run), "id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -255,7 +265,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
             data = [None if x is None else c.decode(np.array(x, np.int32)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["id", "data"])
 
-    return tokens.select("id", "ids").mapInArrow(run, "id long, data binary")
+    return tokens.select("id", "ids").mapInArrow(tidy(run), "id long, data binary")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,4 +287,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(run), "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
+from riskloom.llm.common import numbered_names, tidy
 from riskloom.session import materialize
 
 PREFIX_BYTES = 64
@@ -189,16 +190,18 @@ def _leaders(text_position: int):
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """Rows of ``docs`` with all their columns, one of each group of equal texts."""
+    names = docs.columns
+    docs, (text_col, id_col) = numbered_names(docs, text_col, id_col)
     ordered = _sorted_by_content(docs, text_col, id_col, keep == "largest", keep_key=False)
     schema = StructType([
         *(StructField(f.name, f.dataType, True) for f in docs.schema.fields),
         StructField("_cs_part", IntegerType()), StructField("_cs_edge", IntegerType()), StructField("_cs_text", BinaryType()),
     ])
-    leaders = materialize(ordered.mapInArrow(_leaders(docs.columns.index(text_col)), schema), "content-leaders")
+    leaders = materialize(ordered.mapInArrow(tidy(_leaders(docs.columns.index(text_col))), schema), "content-leaders")
     edges = leaders.where("_cs_edge > 0").select("_cs_part", "_cs_edge", "_cs_text")
     order = Window.orderBy("_cs_part", "_cs_edge")
     again = (
         edges.withColumn("_cs_same", F.lag("_cs_text").over(order) == F.col("_cs_text"))
         .where("_cs_edge = 1 AND _cs_same").select("_cs_part", "_cs_edge")
     )
-    return leaders.where("_cs_edge < 2").join(again, ["_cs_part", "_cs_edge"], "left_anti").select(*docs.columns)
+    return leaders.where("_cs_edge < 2").join(again, ["_cs_part", "_cs_edge"], "left_anti").select(*docs.columns).toDF(*names)

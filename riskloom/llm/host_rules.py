@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import SPACES
+from riskloom.llm.common import SPACES, numbered_names
 from riskloom.session import materialize
 
 # The base rules and the characters counted as symbols.
@@ -182,5 +182,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
 
 def passing(docs: DataFrame, text_col: str = "text", host_col: str = "source", policy: HostPolicy = HostPolicy()) -> DataFrame:
     """Rows of ``docs`` that stay, with their columns as they were."""
+    names = docs.columns
+    docs, (text_col, host_col) = numbered_names(docs, text_col, host_col)
     ruled = _with_rules(_with_counts(docs.withColumn("_hr_host", F.col(host_col).cast("string")), text_col), policy)
-    return _decided(materialize(ruled, "host-rules-docs"), policy).where("_hr_kept").select(*docs.columns)
+    return _decided(materialize(ruled, "host-rules-docs"), policy).where("_hr_kept").select(*docs.columns).toDF(*names)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.common import word_count
+from riskloom.llm.common import numbered_names, word_count
 from riskloom.operators.ranks import numbered
 from riskloom.session import materialize
 
@@ -119,6 +119,8 @@ def drawn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Because the order is that of the key, one cut per source says it all, so texts
     are not moved; rows that share an identifier are taken alike.
     """
+    names = docs.columns
+    docs, (id_col, text_col, source_col) = numbered_names(docs, id_col, text_col, source_col)
     rows = _prefix_sums(docs, id_col, text_col, source_col, seed)
     wanted = (F.col("size") > 0) & (2 * (_last_epoch() - F.col("before")) >= F.col("size"))
     cuts = materialize(
@@ -128,4 +130,4 @@ def drawn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     more = F.coalesce(_key(id_col, seed) <= F.col("_mx_cut"), F.lit(False)).cast("int")
     copies = F.coalesce(F.col("_mx_epochs"), F.lit(0)).cast("int") + more
     joined = docs.join(cuts, F.col(source_col).cast("string").eqNullSafe(F.col("_mx_source")), "left").withColumn("_mx_copies", copies)
-    return joined.where("_mx_copies > 0").withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_copies")))).select(*docs.columns)
+    return joined.where("_mx_copies > 0").withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_copies")))).select(*docs.columns).toDF(*names)

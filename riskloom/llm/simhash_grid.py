@@ -33,6 +33,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.llm.common import numbered_names, tidy
 from riskloom.llm.components import components
 from riskloom.session import materialize
 
@@ -104,7 +105,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp, row_hash): the fingerprint as a signed long, and a hash of the text that tells rows of one id apart."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("row_hash"))
-    return rows.mapInArrow(_fingerprints, "id long, fp long, row_hash long")
+    return rows.mapInArrow(tidy(_fingerprints), "id long, fp long, row_hash long")
 
 
 # ---- grid join ------------------------------------------------------------------------------
@@ -230,7 +231,7 @@ def _link_rows(distance: int):
 
 def _by_cell(cells: DataFrame, distance: int) -> DataFrame:
     ordered = cells.repartitionByRange("cell", "fp").sortWithinPartitions("cell", "fp")
-    return ordered.mapInArrow(_link_rows(distance), "kind int, a long, b long")
+    return ordered.mapInArrow(tidy(_link_rows(distance)), "kind int, a long, b long")
 
 
 def _across(cells: DataFrame, distance: int) -> DataFrame:
@@ -240,7 +241,7 @@ def _across(cells: DataFrame, distance: int) -> DataFrame:
     paired = placed.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     keyed = paired.select(F.xxhash64("cell", F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "fp")
     ordered = keyed.repartition("cell").sortWithinPartitions("cell", "fp")
-    return ordered.mapInArrow(_link_rows(distance), "kind int, a long, b long").where("kind = 0")
+    return ordered.mapInArrow(tidy(_link_rows(distance)), "kind int, a long, b long").where("kind = 0")
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
@@ -294,10 +295,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows that share identifier and text stay or go together.
     """
+    names = docs.columns
+    docs, (id_col, text_col) = numbered_names(docs, id_col, text_col)
     found = materialize(near_duplicates(docs, id_col, text_col, distance, blocks), "near-duplicates")
     stays = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "row_hash")).alias("w"))
     gone = found.join(stays, "component").where(
         ~(F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash")))
     ).select(F.col("id").alias("_sg_id"), F.col("row_hash").alias("_sg_hash")).distinct()
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_sg_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_sg_hash"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone, same, "left_anti").toDF(*names)

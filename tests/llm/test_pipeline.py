@@ -67,4 +67,4 @@ def test_registered(spark):
     import __spark_entry__ as contract
 
     assert set(LLM_QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in LLM_QUERIES} == set(range(1, 14))
