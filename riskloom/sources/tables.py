@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskloom.functions.cleaning import decimal_comma, parse_bool
@@ -199,12 +199,16 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", decimal: str = ".") -> s
 
 
 def overwrite_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace a catalog table and compare row counts: (table_name, source_rows, stored_rows, passed)."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Replace a catalog table and compare row counts: (table_name, source_rows, stored_rows, passed).
+
+    The source's rows are counted by the write itself, so it runs once, and a source
+    that changes from run to run is compared with what was written.
+    """
+    seen = Observation(f"rows written to {name}")
+    df.observe(seen, F.count(F.lit(1)).alias("source_rows")).write.mode("overwrite").saveAsTable(name)
     stored = df.sparkSession.table(name).agg(F.count(F.lit(1)).alias("stored_rows"))
-    source = df.agg(F.count(F.lit(1)).alias("n"))
     return stored.select(
-        F.lit(name).alias("table_name"), source.scalar().alias("source_rows"), "stored_rows"
+        F.lit(name).alias("table_name"), F.lit(seen.get["source_rows"]).cast("long").alias("source_rows"), "stored_rows"
     ).withColumn("passed", F.col("source_rows") == F.col("stored_rows"))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import joins as J, profiles as P, quality as Q, ranks as R, sets as S, windows as W
-from riskloom.operators.quantiles import exact_medians, exact_percentiles
+from riskloom.operators.quantiles import exact_medians, exact_percentiles, image_value, ordered_image
 from riskloom.plans.monthly import most_common
 
 UNITS = [5, 0, 7, 3, 9, 1, 4, 8]
@@ -94,6 +94,34 @@ def test_exact_percentiles_against_numpy(spark):
     assert overall == pytest.approx(median(v for _, v in rows if v is not None))
 
 
+def test_ordered_image_keeps_order_and_values(spark):
+    rnd = random.Random(9)
+    edges = [0.0, 5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.0, 1.0 - 2.0**-53, 1.0 + 2.0**-52, 1.7976931348623157e308, float("inf")]
+    edges += [2.0**e for e in range(-1070, 1024, 7)] + [np.nextafter(2.0**e, 0) for e in range(-1070, 1024, 11)]
+    values = sorted({float(s * v) for v in edges for s in (1, -1)} | {rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-300, 300) for _ in range(2000)})
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    rows = df.select("v", ordered_image(F.col("v")).alias("i")).withColumn("back", image_value(F.col("i"))).collect()
+    images = [r.i for r in sorted((r for r in rows if r.v is not None), key=lambda r: r.v)]
+    assert images == sorted(set(images)) and all(r.back == r.v for r in rows)
+    odd = spark.createDataFrame([(-0.0,), (float("nan"),)], "v double").select(ordered_image(F.col("v")).alias("i")).collect()
+    assert odd[0].i == 0 and odd[1].i > max(images)
+
+
+def test_exact_percentiles_close_values_infinities_and_empty(spark):
+    close = [1.0 + i * 2.0**-52 for i in range(101)]
+    signed = [-float("inf"), -3.5, -0.0, 0.0, 2.0, float("inf"), None]
+    df = spark.createDataFrame([("x", v, -v) for v in close] + [("y", v, None) for v in signed], "k string, v double, w double")
+    got = {(r.k, r.column, r.point): r.value for r in exact_percentiles(df, ["k"], ["v", "w"], [0.0, 0.5, 0.99]).collect()}
+    assert got[("x", "v", 0.5)] == close[50] and got[("x", "v", 0.99)] == close[99] and got[("x", "w", 0.5)] == -close[50]
+    assert got[("y", "v", 0.0)] == -float("inf") and got[("y", "v", 0.5)] == 0.0 and ("y", "w", 0.5) not in got
+    assert exact_percentiles(df.where("false"), ["k"], ["v"], [0.5]).count() == 0
+    assert exact_percentiles(df.where("false"), [], ["v"], [0.5]).count() == 0
+    twice = spark.createDataFrame([(None, 1.0), ("z", 2.0), ("z", 2.0)], "k string, v double")
+    assert [tuple(r) for r in exact_medians(twice, ["k"], ["v"]).collect()] == [("z", 2.0)]
+    plan = exact_percentiles(df, ["k"], ["v"], [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_most_common(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (1, "b"), (1, None), (2, None)], "k int, v string")
     got = {r.k: r.m for r in df.groupBy("k").agg(most_common("v").alias("m")).collect()}

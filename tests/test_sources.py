@@ -63,3 +63,18 @@ def test_materialize_uses_the_shared_folder(spark):
     assert shared_dir(spark)
     df = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "t")
     assert df.count() == 5 and df.columns == ["id", "x"]
+
+
+def test_overwrite_counts_what_it_writes_and_runs_the_source_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    source = spark.range(100).mapInArrow(rows, "id long")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS once LOCATION '{folder()}'")
+    row = T.overwrite_table(source, "once.t").first()
+    assert (row.table_name, row.source_rows, row.stored_rows, row.passed) == ("once.t", 100, 100, True) and runs.value == 100
+    assert T.overwrite_table(source.where("id < 0"), "once.t").first().source_rows == 0
