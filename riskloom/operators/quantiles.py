@@ -1,79 +1,13 @@
-"""Exact percentiles by radix selection: no group's values are sorted or meet in one task."""
+"""Exact percentiles without holding a group's values in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-_DIGIT_BITS = 16
-_PASSES = 4
-_FRACTION = 2**52
-_INFINITE = 2047 * _FRACTION
-
-
-def ordered_image(value: Column) -> Column:
-    """A 64-bit integer that orders like the double: exponent above 52 fraction bits, negative below zero.
-
-    Both zeros are 0, infinities keep their side, NaN is largest as in Spark's order, null stays null.
-    """
-    size = F.abs(value)
-    guess = F.floor(F.log2(size))
-    # the logarithm may round across a power of two, which the comparisons undo
-    exponent = (
-        F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
-    )
-    fraction = ((size / F.pow(F.lit(2.0), exponent) - 1.0) * float(_FRACTION)).cast("long")
-    magnitude = (
-        F.when(F.isnan(value), F.lit(_INFINITE + 1))
-        .when(size == float("inf"), F.lit(_INFINITE))
-        .when(size < 2.0**-1022, (size * 2.0**537 * 2.0**537).cast("long"))
-        .otherwise((exponent + 1023) * F.lit(_FRACTION) + fraction)
-    )
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
-
-
-def image_value(image: Column) -> Column:
-    """The double of an ``ordered_image``."""
-    size = F.abs(image)
-    exponent = F.shiftright(size, 52)
-    fraction = size.bitwiseAND(F.lit(_FRACTION - 1)).cast("double")
-    magnitude = (
-        F.when(size > _INFINITE, F.lit(float("nan")))
-        .when(size == _INFINITE, F.lit(float("inf")))
-        .when(exponent == 0, fraction * 2.0**-1074)
-        .otherwise((fraction / float(_FRACTION) + 1.0) * F.pow(F.lit(2.0), exponent - 1023))
-    )
-    return F.when(image < 0, -magnitude).otherwise(magnitude)
-
-
-def _place(counts: Column, rank: Column) -> Column:
-    """(head, left): the head that holds the row of this rank, and the rank among that head's rows."""
-    def state(head: Column, left: Column) -> Column:
-        return F.struct(head.cast("long").alias("head"), left.cast("long").alias("left"))
-
-    return F.aggregate(
-        counts,
-        state(F.lit(None), rank),
-        lambda s, c: F.when(s["head"].isNotNull(), s)
-        .when(s["left"] < c["n"], state(c["head"], s["left"]))
-        .otherwise(state(F.lit(None), s["left"] - c["n"])),
-    )
-
-
-def _counts() -> Column:
-    """Rows per head in order; a head has at most 2^16 successors, however many rows there are."""
-    return F.array_sort(F.collect_list(F.struct(F.col("_head").alias("head"), F.col("_n").alias("n")))).alias("_counts")
-
-
-def _heads(shift: int) -> Column:
-    """Every wanted rank with the leading bits of the row's value in its column."""
-    def head(t: Column) -> Column:
-        names = ["_col", "_all", "_rank", "_left", "_prefix"]
-        leading = F.shiftright(F.get(F.col("_images"), t["_col"]), shift)
-        return F.struct(*[t[c].alias(c) for c in names], leading.alias("_head"))
-
-    return F.transform("_targets", head)
+_ACCURACY = 10_000
+_MARGIN = 3 / _ACCURACY
 
 
 def exact_percentiles(
@@ -81,60 +15,116 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per group: rows (keys, column, point, value).
 
-    A percentile lies between two ranks. Each rank is found digit by digit on the
-    order-preserving image of the values: a pass counts the rows per next 16 bits
-    among those that share the bits found so far, and picks the digit that holds the
-    rank. Counts combine before they are shuffled, and what a pass hands to the next
-    is one entry per group, column and rank. Four passes read ``df``; write it first
-    if it is costly.
-
-    Nulls are not counted; a group without a value, and a null key, have no row.
+    Pass 1 takes a mergeable approximate quantile a little below and above each
+    point; its rank error is bounded, so the wanted value lies between the two.
+    Pass 2 counts what lies below that bracket and tallies only the values
+    inside it, which is a tiny share of the rows. The nearest values outside
+    the bracket are kept as well, for interpolation across its edge.
     """
     keys = list(keys)
-    images = F.array(*[ordered_image(F.col(c).cast("double")) for c in columns])
-    source = df.dropna(subset=keys) if keys else df
-    source = source.select(*keys, images.alias("_images"))
-
-    def position(n: Column, p: float) -> Column:
-        return (n - 1) * F.lit(float(p))
-
-    shift = 64 - _DIGIT_BITS
-    cells = F.transform("_images", lambda x, i: F.struct(i.alias("_col"), F.shiftright(x, shift).alias("_head")))
-    known = source.select(*keys, F.inline(cells)).where(F.col("_head").isNotNull())
-    first = known.groupBy(*keys, "_col", "_head").agg(F.count(F.lit(1)).alias("_n")).groupBy(*keys, "_col").agg(
-        _counts(), F.sum("_n").alias("_all")
+    targets = [(c, p) for c in columns for p in points]
+    # one quantile sketch per column serves both ends of all its brackets
+    bounds = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        marks = sorted({m for p in points for m in (p - _MARGIN, p + _MARGIN) if 0 < m < 1})
+        sketch = F.percentile_approx(v, marks, _ACCURACY) if marks else F.array()
+        bounds += [sketch.alias(f"q_{c}"), F.min(v).alias(f"min_{c}"), F.max(v).alias(f"max_{c}"), F.count(v).alias(f"n_{c}")]
+    source = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+
+    def edge(c: str, mark: float):
+        if mark <= 0:
+            return F.col(f"min_{c}")
+        if mark >= 1:
+            return F.col(f"max_{c}")
+        return F.get(F.col(f"q_{c}"), F.lit(marks.index(mark)))
+
+    brackets = source.groupBy(*keys).agg(*bounds).select(
+        *keys,
+        *[f"n_{c}" for c in columns],
+        *[edge(c, p - _MARGIN).alias(f"lo{i}") for i, (c, p) in enumerate(targets)],
+        *[edge(c, p + _MARGIN).alias(f"hi{i}") for i, (c, p) in enumerate(targets)],
+    )
+    packed = brackets.select(*keys, F.struct(*[c for c in brackets.columns if c not in keys]).alias("_b"))
+    if keys:
+        joined = source.join(packed, keys)
+    else:
+        joined = source.withColumn("_b", packed.scalar())
+
+    below = joined.groupBy(*keys).agg(
+        F.first("_b").alias("_b"),
+        *[
+            e
+            for i, (c, _) in enumerate(targets)
+            for e in (
+                F.count_if(F.col(c) < F.col(f"_b.lo{i}")).alias(f"below{i}"),
+                F.count_if(F.col(c) <= F.col(f"_b.hi{i}")).alias(f"upto{i}"),
+                F.max(F.when(F.col(c) < F.col(f"_b.lo{i}"), F.col(c))).alias(f"prev{i}"),
+                F.min(F.when(F.col(c) > F.col(f"_b.hi{i}"), F.col(c))).alias(f"next{i}"),
+            )
+        ],
+    )
+    below_long = below.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("target"),
+                        *[F.col(f"{name}{i}").alias(name) for name in ("below", "upto", "prev", "next")],
+                        F.col(f"_b.n_{c}").alias("n"),
+                    )
+                    for i, (c, _) in enumerate(targets)
+                ]
+            )
+        ),
     )
-    ranks = F.array_distinct(F.array(*[side(position(F.col("_all"), p)) for p in points for side in (F.floor, F.ceil)]))
-    targets = first.select(
-        *keys, "_col", "_all",
-        F.inline(F.transform(ranks, lambda r: F.struct(r.alias("_rank"), _place(F.col("_counts"), r).alias("_at")))),
+    inside = joined.select(
+        *keys,
+        F.inline(
+            F.filter(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(i).alias("target"),
+                            F.when(F.col(c).between(F.col(f"_b.lo{i}"), F.col(f"_b.hi{i}")), F.col(c)).alias("value"),
+                        )
+                        for i, (c, _) in enumerate(targets)
+                    ]
+                ),
+                lambda s: s["value"].isNotNull(),
+            )
+        ),
     )
-    for _ in range(_PASSES - 1):
-        shift -= _DIGIT_BITS
-        wanted = F.struct("_col", "_all", "_rank", F.col("_at.head").alias("_prefix"), F.col("_at.left").alias("_left"))
-        packed = targets.groupBy(*keys).agg(F.collect_list(wanted).alias("_targets"))
-        joined = source.join(packed, keys) if keys else source.withColumn("_targets", packed.scalar())
-        same = F.filter(_heads(shift), lambda t: F.shiftright(t["_head"], _DIGIT_BITS) == t["_prefix"])
-        target = [*keys, "_col", "_all", "_rank", "_left"]
-        counted = joined.select(*keys, F.inline(same)).groupBy(*target, "_head").agg(F.count(F.lit(1)).alias("_n"))
-        targets = counted.groupBy(*target).agg(_counts()).select(
-            *keys, "_col", "_all", "_rank", _place(F.col("_counts"), F.col("_left")).alias("_at")
+    tallied = inside.groupBy(*keys, "target", "value").agg(F.count(F.lit(1)).alias("ties"))
+    earlier = Window.partitionBy(*keys, "target").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = tallied.withColumn("_prior", F.coalesce(F.sum("ties").over(earlier), F.lit(0)))
+    points_col = F.element_at(F.array(*[F.lit(float(p)) for _, p in targets]), F.col("target") + 1)
+    ranked = (
+        placed.join(below_long, [*keys, "target"])
+        .withColumn("_h", (F.col("n") - 1) * points_col)
+        .withColumn("_from", F.col("below") + F.col("_prior"))
+    )
+
+    def value_at(rank):
+        hit = (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("ties"))
+        return F.coalesce(
+            F.max(F.when(hit, F.col("value"))),
+            F.max(F.when(rank >= F.col("upto"), F.col("next"))),
+            F.max(F.when(rank < F.col("below"), F.col("prev"))),
         )
 
-    found = targets.withColumn("_value", image_value(F.col("_at.head")))
-    ends = [
-        F.max(F.when(F.col("_rank") == side(position(F.col("_all"), p)), F.col("_value"))).alias(f"{name}{i}")
-        for i, p in enumerate(points)
-        for name, side in (("_lo", F.floor), ("_hi", F.ceil))
-    ]
-    rows = []
-    for i, p in enumerate(points):
-        low, high, h = F.col(f"_lo{i}"), F.col(f"_hi{i}"), position(F.col("_all"), p)
-        between = F.when(low == high, low).otherwise(low + (high - low) * (h - F.floor(h)))
-        rows.append(F.struct(F.lit(float(p)).alias("point"), between.alias("value")))
-    names = F.array(*[F.lit(c) for c in columns])
-    return found.groupBy(*keys, "_col", "_all").agg(*ends).select(
-        *keys, F.element_at(names, F.col("_col") + 1).alias("column"), F.inline(F.array(*rows))
+    picked = ranked.groupBy(*keys, "target").agg(
+        value_at(F.floor("_h")).alias("_lo"),
+        value_at(F.ceil("_h")).alias("_hi"),
+        F.max(F.col("_h") - F.floor("_h")).alias("_w"),
+    )
+    names = F.array(*[F.lit(c) for c, _ in targets])
+    return picked.select(
+        *keys,
+        F.element_at(names, F.col("target") + 1).alias("column"),
+        points_col.alias("point"),
+        (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias("value"),
     )
 
 
