@@ -1,10 +1,11 @@
 """Main text of web pages by a linear-chain conditional random field over leaf blocks.
 
-Each leaf block of a page (see ``html_blocks``) gets features of its ancestors (what
-their tags, classes and ids say they are, the innermost one, the pair of the two
-innermost) and of its text (length, share of links, final punctuation, element). The
-field has two states, article and rest; it is trained by maximum likelihood on
-labelled pages and decoded by Viterbi.
+Each leaf block of a page (see ``html_blocks``) gets features of its ancestors and of
+its text (length, share of links, final punctuation, element). What an ancestor's
+element says and what the words of its class and id say are features apart, alone and
+together; neither outranks the other, the weights are learnt. (``body`` holds every
+block alike and is left out.) The field has two states, article and rest; it is trained
+by maximum likelihood on labelled pages and decoded by Viterbi.
 
 No table has labels for pages, so the labelled pages are built here: layouts whose
 parts are known, in the markup that sites use for them, with texts taken from a
@@ -32,7 +33,7 @@ from riskloom.llm.html_blocks import Block, leaf_blocks
 
 SAMPLE_PAGES = 64
 SAMPLE_CHARS = 20_000
-TRAINING_PAGES = 400
+TRAINING_PAGES = 600
 STEPS = 150
 PENALTY = 1e-3
 
@@ -52,9 +53,9 @@ WORD_ROLES = {
     "header": "header masthead logo branding tagline",
     "form": "form search login register",
     "content": "content article post entry story body text main blog",
+    "switch": "has with without no enabled disabled",
 }
 _ROLE_OF_WORD = {w: role for role, words in reversed(WORD_ROLES.items()) for w in words.split()}
-_PRIORITY = {role: k for k, role in enumerate(WORD_ROLES)}  # a comment in "post comments" is a comment
 
 # Markup of the parts of a page, by what they are.
 ARTICLES = (
@@ -65,36 +66,36 @@ PARTS = {
     "menu": ("<nav>", '<div class="menu">', '<ul id="main-menu">', '<div class="breadcrumbs">', '<div role="navigation">', '<div class="navbar">', "<menu>"),
     "header": ("<header>", '<div class="site-header">', '<div id="masthead">', '<div class="header"><div class="branding">'),
     "footer": ("<footer>", '<div class="site-footer">', '<div id="footer">', '<div class="copyright">', '<div role="contentinfo">'),
-    "side": ("<aside>", '<div class="sidebar">', '<div id="sidebar"><div class="widget">', '<div class="related-posts">', '<section class="related">', '<aside class="widget">', '<div class="recommended-stories">'),
+    "side": ("<aside>", '<div class="sidebar">', '<div id="sidebar"><div class="widget">', '<div class="related-posts">', '<section class="related">', '<div class="related-posts"><article class="post">', '<aside class="widget">', '<div class="recommended-stories">'),
     "notice": ('<div class="cookie-notice">', '<div id="cookie-banner">', '<div class="alert">', '<div class="newsletter-signup">', '<div class="notice">', '<div role="alert">', "<dialog>", '<div class="gdpr-consent">', '<section class="subscribe-popup">', '<p class="notice">'),
     "ad": ('<div class="ad">', '<div class="advert">', '<div id="ad-slot">', '<div class="sponsored-content">', '<div class="banner">', '<div class="promo">', '<section class="advertisement">', '<aside class="ad">', '<p class="ad">'),
     "form": ("<form>", '<form class="search-form">', "<fieldset>", '<div class="login-form">', '<form id="contact"><div>'),
-    "comment": ('<section class="comments">', '<div id="comments">', '<ol class="comment-list">', '<div class="comment-body">', '<div id="disqus_thread">', '<section id="responses">', '<div class="reader-comments"><article class="comment">', '<ul class="replies">'),
+    "comment": ('<ol class="comment-list"><li><article class="comment-body">', '<ol class="commentlist"><li class="comment"><article class="entry">', '<section class="comments">', '<div id="comments">', '<ol class="comment-list">', '<div class="comment-body">', '<div id="disqus_thread">', '<section id="responses">', '<div class="reader-comments"><article class="comment">', '<ul class="replies">'),
     "share": ('<div class="share-buttons">', '<div class="social">', '<ul class="share">', '<p class="tags">'),
 }
+# Words of classes and ids that say an element holds the article.
+CONTENT_WORDS = ("post", "entry", "story", "article", "content", "blog-post")
 _FILLER = "some plain words that stand where no page has given any, and a few more of them."
 
 
-def _role(tag: str, words: frozenset[str]) -> str | None:
-    found = {_ROLE_OF_WORD[w] for w in words if w in _ROLE_OF_WORD}
-    by_tag = TAG_ROLES.get(tag)
-    rest = [r for r in found if r != "content"]
-    if rest:
-        return min(rest, key=_PRIORITY.__getitem__)
-    return by_tag or ("content" if found else None)
+def _said(tag: str, words: frozenset[str]) -> tuple[str, tuple[str, ...]]:
+    """What an element says it is, and what its class and id words say it is."""
+    return TAG_ROLES.get(tag, ""), tuple(sorted({_ROLE_OF_WORD[w] for w in words if w in _ROLE_OF_WORD}))
 
 
 @lru_cache(maxsize=20_000)
 def _place_features(tags: tuple[str, ...], words: tuple[frozenset[str], ...]) -> tuple[str, ...]:
-    roles = [r for r in map(_role, tags, words) if r]
-    inner = roles[-1] if roles else "none"
-    outer = roles[-2] if len(roles) > 1 else "none"
+    nodes = [_said(t, w) for t, w in zip(tags, words) if t not in ("html", "body")]
+    nodes = [n for n in nodes if any(n)]
+    names = [f"{element}|{'+'.join(roles)}" for element, roles in nodes]
+    inner, outer = names[-1] if names else "none", names[-2] if len(names) > 1 else "none"
     leaf = tags[-1] if tags else "none"
-    rest = [r for r in roles if r not in ("content", "caption", "header")]
-    return (
-        "bias", f"inner={inner}", f"pair={outer}>{inner}", f"leaf={leaf}", f"leaf={leaf}&inner={inner}", f"listed={'li' in tags or 'dd' in tags}",
-        f"rest={rest[-1] if rest else 'none'}", *(f"has={r}" for r in set(roles)),
-    )
+    out = {"bias", f"inner={inner}", f"pair={outer}>{inner}", f"leaf={leaf}", f"leaf={leaf}&inner={inner}", f"listed={'li' in tags or 'dd' in tags}"}
+    if nodes:
+        out.update([f"inner element={nodes[-1][0]}", *(f"inner word={r}" for r in nodes[-1][1])])
+    for name, (element, roles) in zip(names, nodes):
+        out.update([f"has={name}", f"has element={element}", *(f"has word={r}" for r in roles), *(f"has={element}&{r}" for r in roles)])
+    return tuple(sorted(out))
 
 
 def _text_features(b: Block) -> tuple[str, ...]:
@@ -132,11 +133,15 @@ class _Layouts:
 
     def part(self, kind: str, out: list[tuple[str, int | None]]) -> None:
         opened = self.rng.choice(PARTS[kind])
+        if self.rng.random() < 0.3:  # the element of the part, or a plain one, with any of the part's words
+            tag = self.rng.choice([t for t, r in TAG_ROLES.items() if r == kind and t not in ("button", "legend", "menu")] + ["div"])
+            opened = f'<{tag} {self.rng.choice(("class", "id"))}="{self.rng.choice(WORD_ROLES[kind].split())}">'
         leaf_only = opened.startswith("<p ")
         out.append((opened, None))
         linked = kind in ("menu", "share") or kind in ("side", "footer", "header") and self.rng.random() < 0.5
-        listed = opened.startswith(("<ul", "<ol", "<menu")) or not leaf_only and linked and self.rng.random() < 0.7
-        if listed and not opened.startswith(("<ul", "<ol", "<menu")):
+        is_list = opened.rsplit("<", 1)[1].startswith(("ul", "ol", "menu"))
+        listed = is_list or not leaf_only and linked and self.rng.random() < 0.7
+        if listed and not is_list:
             out.append(("<ul>", None))
         for _ in range(1 if leaf_only else self.rng.randint(3, 8) if linked else self.rng.randint(1, 4)):
             text = self._words(1, 3) if linked else self._words(2, 60 if kind in ("comment", "notice", "ad", "side") else 14)
@@ -146,12 +151,25 @@ class _Layouts:
             tag = "" if leaf_only else "li" if listed else self.rng.choice(("p", "div", "span", "h3") if kind != "form" else ("label", "button", "p"))
             tag = "p" if tag in ("span", "label") else tag
             out.append((f"<{tag}>{text}</{tag}>" if tag else text, 0))
-        if listed and not opened.startswith(("<ul", "<ol", "<menu")):
+        if listed and not is_list:
             out.append(("</ul>", None))
         out.append((_closing(opened), None))
 
+    def misleading(self) -> str:
+        """An article's element whose class or id also has words that name other parts, as topics and theme switches do."""
+        role = self.rng.choice([r for r in WORD_ROLES if r not in ("content", "switch")])
+        words = [self.rng.choice(WORD_ROLES[role].split()) + self.rng.choice(("", "-topic", "-open"))]
+        if self.rng.random() < 0.4:
+            words.append(self.rng.choice(WORD_ROLES[self.rng.choice(("share", "side", "menu", "notice"))].split()) + "-x")
+        # a lone "comment" or "ad" is one, whatever its element; a plain element needs a word for the article
+        plain = role == "share" and self.rng.random() < 0.5
+        if plain or role in ("comment", "ad") or self.rng.random() < 0.5:
+            words = [self.rng.choice(CONTENT_WORDS), *words[:1 if plain else None]]
+        tag = self.rng.choice(("div", "section")) if plain else self.rng.choice(("article", "article", "main"))
+        return f'<{tag} {self.rng.choice(("class", "id"))}="{" ".join(words)}">'
+
     def article(self, out: list[tuple[str, int | None]]) -> None:
-        opened = self.rng.choice(ARTICLES)
+        opened = self.misleading() if self.rng.random() < 0.35 else self.rng.choice(ARTICLES)
         plain = opened == "<div>"
         out.append((opened, None))
         title = f"<h1>{self._words(3, 12)}</h1>"
@@ -173,7 +191,7 @@ class _Layouts:
                 out.append(("</ul>", None))
             else:
                 out.append((f"<p>{self._words(2, 20)} <a href='/y'>{self._words(1, 4)}</a> {self._words(2, 20)}.</p>", 1))
-            if self.rng.random() < 0.08 and not plain:
+            if self.rng.random() < 0.2 and not plain:
                 self.part(self.rng.choice(("ad", "side", "share", "notice")), out)
         if self.rng.random() < 0.3 and not plain:
             self.part(self.rng.choice(("comment", "share", "footer", "form")), out)
@@ -182,6 +200,11 @@ class _Layouts:
     def page(self) -> tuple[str, list[int]]:
         out: list[tuple[str, int | None]] = [("<html><body>", None)]
         chance = self.rng.random
+        # themes mark the whole page with words for its parts as well
+        wrapped = chance() < 0.25
+        if wrapped:
+            role = self.rng.choice(("side", "menu", "notice", "share", "header"))
+            out.append((f'<div class="{self.rng.choice(("has", "with", "no"))}-{self.rng.choice(WORD_ROLES[role].split())}">', None))
         for kind, p in (("notice", 0.3), ("header", 0.5), ("menu", 0.7), ("ad", 0.5), ("side", 0.2)):
             if chance() < p:
                 self.part(kind, out)
@@ -190,7 +213,7 @@ class _Layouts:
         for kind, p in (("share", 0.3), ("ad", 0.3), ("comment", 0.5), ("side", 0.4), ("form", 0.3), ("notice", 0.2), ("footer", 0.8)):
             if chance() < p:
                 self.part(kind, out)
-        out.append(("</body></html>", None))
+        out.append(("</div></body></html>" if wrapped else "</body></html>", None))
         return "".join(x for x, _ in out), [y for _, y in out if y is not None]
 
 
@@ -222,13 +245,14 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS, penalt
     names: dict[str, int] = {}
     rows = [[[names.setdefault(f, len(names)) for f in features(b)] for b in blocks] for blocks, _ in pages]
     n, longest, k = len(pages), max(len(r) for r in rows), len(names)
-    x = np.zeros((sum(map(len, rows)), k), np.float32)
+    most = max(len(fs) for r in rows for fs in r)
+    x = np.full((sum(map(len, rows)), most), k)  # the features of a block; place k has weight zero
     where = np.full((n, longest), -1)
     gold = np.zeros((n, longest), int)
     at = 0
     for i, (r, (_, labels)) in enumerate(zip(rows, pages)):
         for t, fs in enumerate(r):
-            x[at, fs] = 1
+            x[at, :len(fs)] = fs
             where[i, t], gold[i, t] = at, labels[t]
             at += 1
     there = where >= 0
@@ -237,12 +261,12 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS, penalt
     pair = np.zeros((2, 2))
     both = there[:, 1:]
     np.add.at(pair, (gold[:, :-1][both], gold[:, 1:][both]), 1)
-    w, trans = np.zeros((k, 2)), np.zeros((2, 2))
+    w, trans = np.zeros((k + 1, 2)), np.zeros((2, 2))
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, trans)]
     lengths = there.sum(axis=1)
     for step in range(1, steps + 1):
         scores = np.zeros((n, longest, 2))
-        scores[there] = (x @ w)[where[there]]
+        scores[there] = w[x].sum(axis=1)[where[there]]
         alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
         alpha[:, 0] = scores[:, 0]
         for t in range(1, longest):
@@ -255,7 +279,9 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS, penalt
         expected = np.zeros((len(x), 2))
         expected[where[there]] = marginal[there]
         joint = np.exp(alpha[:, :-1, :, None] + trans + (scores + beta)[:, 1:, None, :] - total[:, None, None, None])
-        for p, g, (m, v) in zip((w, trans), ((x.T @ (y - expected)) / n - penalty * w, (pair - joint[both].sum(axis=0)) / n - penalty * trans), moments):
+        found = np.stack([np.bincount(x.ravel(), np.repeat((y - expected)[:, c], most), k + 1) for c in (0, 1)], axis=1)
+        found[k] = 0
+        for p, g, (m, v) in zip((w, trans), (found / n - penalty * w, (pair - joint[both].sum(axis=0)) / n - penalty * trans), moments):
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

@@ -86,6 +86,32 @@ def test_parts_that_are_no_article(model):
     assert text == "Title of it\nFirst paragraph of the article.\nSecond one & last."
 
 
+# Containers that no training layout has, as sites write them.
+UNSEEN_CONTAINERS = (
+    '<article class="post hentry category-news tag-politics">', '<article id="follow-up-story">', '<main class="read-more-enabled">', '<article class="newsletter-issue">',
+    '<article class="post-4711 type-post status-publish comments-open has-sidebar">', '<main id="search-results-explained">', '<article class="article--banner-top">',
+    '<div class="entry tag-economy">', '<section id="story" class="social-theme">', '<article data-x="1" class="card more popular">', '<main role="main" class="content-with-sidebar">',
+    '<article class="sponsor-free story">', '<div class="has-sidebar"><article class="h-entry">', '<article class="header-image">', '<article class="footer-dark toc-left">',
+)
+
+
+@pytest.mark.parametrize("opened", UNSEEN_CONTAINERS)
+def test_articles_under_misleading_names(model, opened):
+    page = (
+        "<html><body class='single has-sidebar menu-open'><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>" + opened
+        + "<h1>Title of it</h1><p>The first paragraph tells what happened, where and to whom it did.</p><p>Short one.</p><ul><li>a point</li><li>a second point</li></ul>"
+        + "<p>The last paragraph, with a <a href='/z'>link</a> in it, says what comes next.</p></" + opened.split()[0][1:].rstrip(">") + ">"
+        + ("</article></div>" if opened.startswith("<div class=\"has") else "")
+        + "<div class='related-posts'><h3>Related</h3><article class='post'><a href='/o'>Other story</a></article></div>"
+        + "<ol class='comment-list'><li><article class='comment-body'><p>I read this one and did not like how it ends.</p></article></li></ol><footer>&copy; 2024 Site</footer></body></html>"
+    ).replace("</div></article></div>", "</article></div>")
+    want = (
+        "Title of it\nThe first paragraph tells what happened, where and to whom it did.\nShort one.\na point\na second point\n"
+        "The last paragraph, with a link in it, says what comes next."
+    )
+    assert hc.Decoder(model).text(page) == want
+
+
 def test_cases(spark, model):
     frame = spark.createDataFrame(
         [(1, "u", None, "x"), (2, None, "", "x"), (None, "v", "<article><p>a</p></article>", "y"), (4, "w", "<article><p>a</p></article>", "y"), (4, "w", "<article><p>a</p></article>", "y"), (5, "z", "<article>" + "<p>long text here.</p>" * 5000 + "</article>", "z")],
