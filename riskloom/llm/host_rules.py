@@ -1,10 +1,13 @@
 """Quality rules by document and by host, in DataFrame functions only.
 
-Every document gets a few counts from its whole text and four rule outcomes. Rule
-failures are added up by host, each host's failure rate is shrunk towards the
-common rate with a beta prior fitted to all hosts by the method of moments, and the
-host verdict is joined back: on a host that fails too often, a document must also
-pass the soft rules.
+Every document gets a few counts from its whole text and four rule outcomes. Failures
+are added up by host and rule. Each rule has a beta prior of its own, fitted to all
+hosts by the method of moments, so a host's rate is shrunk towards the rule's common
+rate, the more so the fewer documents the host has. A host is rejected if for some rule
+the posterior probability that its rate lies above ``HostPolicy.excess`` times the
+common rate is at least ``HostPolicy.certainty`` (the beta posterior by a normal
+distribution of its mean and variance). The verdict is joined back: on a rejected host,
+a document must also pass the soft rules.
 
 Results by case: a null text has no words and fails; a null host is a host of its
 own; no rows give no rows; repeated rows are judged one by one; other columns are
@@ -20,6 +23,8 @@ is exact in all cases.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,7 +47,13 @@ class HostPolicy:
 
     most_symbols_percent: int = 10       # of word characters
     most_line_copies: int = 5            # repeated lines that a document may have
-    most_host_failures: float = 0.5      # shrunk rate of failing documents that a host may have
+    excess: float = 1.25                 # of the common rate of a rule, that a host's rate may reach
+    certainty: float = 0.95              # posterior probability from which a host counts as above that
+
+    @property
+    def deviations(self) -> float:
+        """Standard deviations between the limit and the posterior mean at that certainty, to three places."""
+        return round(NormalDist().inv_cdf(self.certainty), 3)
 
 
 def _any_equal(left: Column, right: Column) -> Column:
@@ -123,26 +134,30 @@ def _with_rules(df: DataFrame, policy: HostPolicy) -> DataFrame:
 
 
 def host_verdicts(ruled: DataFrame, policy: HostPolicy) -> DataFrame:
-    """One row per host: documents, failures by rule, shrunk failure rate and verdict.
+    """One row per host: documents, failures, shrunk rate and verdict by rule, and the verdict over all rules.
 
-    The prior's two parameters come from sums over hosts, one row for the driver.
+    The priors' parameters come from sums over hosts, one row for the driver.
     """
     hosts = materialize(
         ruled.groupBy(F.col("_hr_host").alias("_hr_h")).agg(
-            F.count(F.lit(1)).alias("documents"),
-            F.sum(F.col("_hr_base_failed").cast("long")).alias("failed"),
-            *(F.sum(F.col(f"_hr_{r}").cast("long")).alias(r) for r in RULES),
+            F.count(F.lit(1)).alias("documents"), *(F.sum(F.col(f"_hr_{r}").cast("long")).alias(r) for r in RULES)
         ),
         "hosts",
     )
-    rate = F.col("failed") / F.col("documents")
+    n = F.col("documents")
     s = hosts.agg(
-        F.count(F.lit(1)).alias("k"), F.sum("documents").alias("n"), F.sum("failed").alias("f"),
-        F.avg(rate).alias("mean"), F.var_pop(rate).alias("var"), F.avg(1 / F.col("documents")).alias("inv"),
+        F.count(F.lit(1)).alias("k"), F.sum("documents").alias("n"), F.avg(1 / n).alias("inv"),
+        *(F.sum(r).alias(f"f_{r}") for r in RULES), *(F.avg(F.col(r) / n).alias(f"m_{r}") for r in RULES), *(F.var_pop(F.col(r) / n).alias(f"v_{r}") for r in RULES),
     ).first()
-    alpha, beta = beta_prior(s["k"], s["n"], s["f"], s["mean"], s["var"], s["inv"])
-    shrunk = (F.col("failed") + F.lit(alpha)) / (F.col("documents") + F.lit(alpha + beta))
-    return hosts.withColumn("shrunk_rate", shrunk).withColumn("host_rejected", F.round("shrunk_rate", 9) > policy.most_host_failures)
+    out = hosts
+    for r in RULES:
+        alpha, beta = beta_prior(s["k"], s["n"], s[f"f_{r}"], s[f"m_{r}"], s[f"v_{r}"], s["inv"])
+        weight = n + F.lit(alpha + beta)
+        mean = (F.col(r) + F.lit(alpha)) / weight
+        spread = F.sqrt(mean * (1 - mean) / (weight + 1))
+        limit = F.lit(policy.excess * (s[f"f_{r}"] or 0) / (s["n"] or 1))
+        out = out.withColumns({f"{r}_rate": mean, f"{r}_rejected": F.round((mean - limit) / spread, 6) >= policy.deviations})
+    return out.withColumn("host_rejected", reduce(Column.__or__, (F.col(f"{r}_rejected") for r in RULES)))
 
 
 def beta_prior(hosts: int, documents: int | None, failed: int | None, mean: float | None, variance: float | None, mean_inverse: float | None) -> tuple[float, float]:
@@ -160,7 +175,9 @@ def beta_prior(hosts: int, documents: int | None, failed: int | None, mean: floa
 
 
 def _decided(staged: DataFrame, policy: HostPolicy) -> DataFrame:
-    verdicts = host_verdicts(staged, policy).select("_hr_h", F.col("host_rejected").alias("_hr_bad_host"), F.col("shrunk_rate").alias("_hr_host_rate"))
+    verdicts = host_verdicts(staged, policy).select(
+        "_hr_h", F.col("host_rejected").alias("_hr_bad_host"), *(F.col(f"{r}_rate").alias(f"_hr_{r}_rate") for r in RULES)
+    )
     soft = F.col("_hr_symbol_heavy") | F.col("_hr_line_copies")
     return staged.join(verdicts, F.col("_hr_host").eqNullSafe(F.col("_hr_h")), "left").withColumn(
         "_hr_kept", ~F.col("_hr_base_failed") & ~(F.col("_hr_bad_host") & soft)
@@ -168,7 +185,7 @@ def _decided(staged: DataFrame, policy: HostPolicy) -> DataFrame:
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", policy: HostPolicy = HostPolicy()) -> DataFrame:
-    """One row per row of ``docs``: id, host, counts, rule outcomes, host rate and verdict.
+    """One row per row of ``docs``: id, host, counts, rule outcomes, the host's shrunk rate by rule and the verdicts.
 
     The counts are written once (numbers only), then read for the host totals and
     for the join.
@@ -176,7 +193,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
     narrow = docs.select(F.col(id_col).alias("_hr_id"), F.col(host_col).cast("string").alias("_hr_host"), F.col(text_col).alias("_hr_in"))
     ruled = _with_rules(_with_counts(narrow, "_hr_in"), policy).drop("_hr_in")
     out = _decided(materialize(ruled, "host-rules"), policy)
-    names = {"_hr_id": "id", "_hr_host": "host", **{f"_hr_{n}": n for n in (*COUNTS, *RULES, "base_failed", "host_rate", "kept")}, "_hr_bad_host": "host_rejected"}
+    names = {"_hr_id": "id", "_hr_host": "host", **{f"_hr_{n}": n for n in (*COUNTS, *RULES, "base_failed", *(f"{r}_rate" for r in RULES), "kept")}, "_hr_bad_host": "host_rejected"}
     return out.select(*(F.col(a).alias(b) for a, b in names.items()))
 
 

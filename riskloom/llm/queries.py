@@ -63,18 +63,21 @@ def op1(spark: SparkSession, directory: str) -> DataFrame:
         FROM w LEFT JOIN covered USING (rid)
     ), ruled AS (
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-               100 * n_symbols > 10 * word_chars OR n_dup_lines > 5 AS soft_failed
+               100 * n_symbols > 10 * word_chars OR n_dup_lines > 5 AS soft_failed,
+               [n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 10 * word_chars, n_dup_lines > 5] AS rules
         FROM counts
     ), hosts AS (
-        SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM ruled GROUP BY source
+        SELECT source, rule, count(*) AS n, count(*) FILTER (rules[rule]) AS f FROM ruled, range(1, 5) AS r(rule) GROUP BY source, rule
     ), sums AS (
-        SELECT count(*) AS k, sum(n) AS n, sum(f) AS f, var_pop(f / n) AS v, avg(1 / n) AS inv,
+        SELECT rule, count(*) AS k, sum(n) AS n, sum(f) AS f, var_pop(f / n) AS v, avg(1 / n) AS inv,
                least(greatest(sum(f) / sum(n), 1e-6), 1 - 1e-6) AS m
-        FROM hosts
+        FROM hosts GROUP BY rule
     ), prior AS (
-        SELECT m, least(greatest(CASE WHEN v - m * (1 - m) * inv > 1e-12 THEN m * (1 - m) / (v - m * (1 - m) * inv) - 1 ELSE n / k END, 1.0), n / k) AS s FROM sums
+        SELECT rule, m, f / n AS common, least(greatest(CASE WHEN v - m * (1 - m) * inv > 1e-12 THEN m * (1 - m) / (v - m * (1 - m) * inv) - 1 ELSE n / k END, 1.0), n / k) AS s FROM sums
+    ), posterior AS (
+        SELECT source, (f + m * s) / (n + s) AS mean, n + s + 1 AS weight, common FROM hosts JOIN prior USING (rule)
     ), verdicts AS (
-        SELECT source, round((f + m * s) / (n + s), 9) > 0.5 AS bad FROM hosts, prior
+        SELECT source, bool_or(round((mean - 1.25 * common) / sqrt(mean * (1 - mean) / weight), 6) >= 1.645) AS bad FROM posterior GROUP BY source
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (bad AND soft_failed) AS kept
     FROM ruled JOIN verdicts ON ruled.source IS NOT DISTINCT FROM verdicts.source

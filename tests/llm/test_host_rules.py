@@ -58,22 +58,47 @@ def test_counts_equal_brute_force(spark, monkeypatch, bits):
     assert got == {i: plain_counts(t) for i, t in enumerate(texts)}
 
 
-def test_host_verdicts(spark):
-    good = " ".join(f"w{i}" for i in range(60))
-    symbols = " ".join(f"w{i}##" for i in range(60))
-    rows = [(i, "short", "bad") for i in range(90)] + [(100, good, "bad"), (101, symbols, "bad")]
-    rows += [(200 + i, good, "fine") for i in range(60)] + [(300, symbols, "fine"), (400, symbols, None), (401, "short", "new")]
+GOOD = " ".join(f"w{i}" for i in range(60))
+SYMBOLS = " ".join(f"w{i}##" for i in range(60))
+LINES = "\n".join([" ".join(f"w{i}" for i in range(60))] + ["the same line"] * 8)
+
+
+def test_hosts_that_fail_a_rule_are_rejected(spark):
+    """One host fails the length rule, one the symbol rule; each rule has its own rate and prior."""
+    rows = [(i, GOOD if i // 20 % 10 else "short", f"plain{i % 20}") for i in range(1000)]
+    rows += [(2000 + i, "short", "brief") for i in range(90)] + [(2100, GOOD, "brief"), (2101, SYMBOLS, "brief"), (2102, LINES, "brief")]
+    rows += [(3000 + i, SYMBOLS, "signs") for i in range(40)] + [(3100, GOOD, "signs"), (3101, LINES, "signs")]
+    rows += [(4001, SYMBOLS, "plain1"), (4002, LINES, "plain2")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.id: r for r in hr.judged(frame).collect()}
-    assert got[100].kept and not got[101].kept and got[101].host_rejected and not got[101].base_failed
-    assert got[300].kept and not got[300].host_rejected
-    # one failing document does not condemn a host of its own: the prior holds it back
-    assert got[401].host_rate < 1 and got[400].kept == (not got[400].host_rejected)
+    assert {r.host for r in got.values() if r.host_rejected} == {"brief", "signs"}
+    assert got[2100].kept and not got[2101].kept and not got[2102].kept and not got[2101].base_failed
+    assert got[3100].kept and not got[3000].kept and not got[3101].kept and got[3000].symbol_heavy_rate > got[3000].too_short_rate
+    assert got[4001].kept and got[4002].kept
+    assert not any(r.kept for r in got.values() if r.base_failed)
     kept = hr.passing(frame)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in got.items() if r.kept)
 
 
+def test_shrinkage_saves_a_small_host(spark):
+    """All of a small host's documents fail a rule, as do all of a large one's; only the large one is rejected."""
+    rows = [(i, GOOD if i // 20 % 5 else SYMBOLS, f"plain{i % 20}") for i in range(1000)]
+    rows += [(2000 + i, SYMBOLS, "large") for i in range(40)] + [(3000, SYMBOLS, "small"), (3001, SYMBOLS, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.id: r for r in hr.judged(frame).collect()}
+    assert got[2000].host_rejected and not got[2000].kept
+    for i in (3000, 3001):
+        assert not got[i].host_rejected and got[i].kept and got[i].symbol_heavy and got[i].symbol_heavy_rate < 1
+
+
+def test_a_longer_text_than_any(spark):
+    text = " ".join(f"w{i}" for i in range(300_000))
+    frame = spark.createDataFrame([(1, text, "s"), (2, text + " " + text, "s")], "doc_id long, text string, source string")
+    got = {r.id: (r.n_words, r.n_repeat_words, r.kept) for r in hr.judged(frame).collect()}
+    assert got == {1: (300_000, 0, True), 2: (600_000, 600_000, False)}
+
+
 def test_prior():
     assert hr.beta_prior(0, None, None, None, None, None) == (1.0, 1.0)
     a, b = hr.beta_prior(10, 1000, 100, 0.1, 0.01, 0.01)
