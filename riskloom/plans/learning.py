@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -382,17 +382,20 @@ def balanced_weights(train: DataFrame, target: str = TARGET, out: str = "weight"
     ).drop("_sizes")
 
 
-def fit_logistic(train: DataFrame, target: str = TARGET, c: float = 1.0, max_iter: int = 2000) -> LogisticRegressionModel:
+def fit_logistic(
+    train: DataFrame, target: str = TARGET, c: float = 1.0, max_iter: int = 2000, tol: float = 1e-4
+) -> LogisticRegressionModel:
     """Multinomial logistic regression with balanced weights and an L2 penalty.
 
     ``train`` has ``features`` and the target. The penalty of strength 1/c on a
-    summed loss is 1/(c·n) on Spark's mean loss, the weights summing to n.
+    summed loss is 1/(c·n) on Spark's mean loss, the weights summing to n. Spark's ``tol``
+    bounds the change of the loss; ``stationarity`` measures the gradients.
     """
     weighted = balanced_weights(train, target).withColumn("label", F.col(target).cast("double"))
     n = train.count()
     return LogisticRegression(
         family="multinomial", weightCol="weight", regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=1e-4,
+        standardization=False, maxIter=max_iter, tol=tol,
     ).fit(weighted)
 
 
@@ -416,6 +419,79 @@ def score_model(df: DataFrame, model) -> DataFrame:
     )
 
 
+def unpacked(df: DataFrame, size: int) -> DataFrame:
+    """Adds the elements of the ``features`` vector as columns x0, x1, …"""
+    cells = df.withColumn("_cells", vector_to_array("features"))
+    return cells.select("*", *[F.get("_cells", F.lit(i)).alias(f"x{i}") for i in range(size)]).drop("_cells")
+
+
+MAJORITY, NAIVE_BAYES, LOGISTIC = "majority_class", "gaussian_naive_bayes", "class_weighted_logistic_regression"
+
+
+def fit_models(
+    train: DataFrame, size: int, names: Sequence[str] = (MAJORITY, NAIVE_BAYES, LOGISTIC), target: str = TARGET
+) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Classifiers by name, fitted on rows with a ``features`` vector of ``size`` elements.
+
+    Each is a function that adds p0, p1, p2 and ``predicted_label`` to rows with such a vector.
+    """
+    columns = [f"x{i}" for i in range(size)]
+    models: dict[str, Callable[[DataFrame], DataFrame]] = {}
+    if MAJORITY in names:
+        majority = fit_majority(train, target)
+        models[MAJORITY] = lambda df: score_majority(df, majority)
+    if NAIVE_BAYES in names:
+        state = fit_gnb(unpacked(train, size), columns, target=target)
+        models[NAIVE_BAYES] = lambda df: score_gnb(unpacked(df, size), state).drop(*columns)
+    if LOGISTIC in names:
+        model = fit_logistic(train, target)
+        models[LOGISTIC] = lambda df: score_model(df, model)
+    return models
+
+
+def stationarity(
+    train: DataFrame, coefficients: Sequence[Sequence[float]], intercepts: Sequence[float], features: Sequence[str],
+    target: str = TARGET, c: float = 1.0, tolerance: float = 1e-4,
+) -> DataFrame:
+    """Gradient of the penalised objective of ``fit_logistic`` at the given coefficients, by feature and class.
+
+    A certificate of optimality: the objective is convex, so coefficients are its minimum
+    where every gradient is zero, whatever fitted them. ``train`` has ``features`` and the
+    target; class k of the target has row k of ``coefficients``. One aggregate, combined
+    before its shuffle to one row per feature; the intercept is the feature ``(intercept)``.
+    """
+    classes = range(len(intercepts))
+    x = F.col("_x")
+    margins = [
+        F.aggregate(F.zip_with(x, F.lit([float(b), *map(float, w)]), lambda a, v: a * v), F.lit(0.0), lambda s, v: s + v)
+        for w, b in zip(coefficients, intercepts)
+    ]
+    rows = (
+        balanced_weights(train, target)
+        .select(target, "weight", F.concat(F.array(F.lit(1.0)), vector_to_array("features")).alias("_x"))
+        .withColumns({f"_m{k}": margins[k] for k in classes})
+        .withColumn("_top", F.greatest(*[F.col(f"_m{k}") for k in classes]))
+    )
+    exps = [F.exp(F.col(f"_m{k}") - F.col("_top")) for k in classes]
+    share = rows.withColumns({f"_e{k}": e for k, e in enumerate(exps)}).withColumn("_z", sum((F.col(f"_e{k}") for k in classes), F.lit(0.0)))
+    residual = {f"_r{k}": F.col("weight") * (F.col(f"_e{k}") / F.col("_z") - flag(F.col(target) == k)) for k in classes}
+    sums = (
+        share.withColumns(residual)
+        .select("weight", *residual, F.posexplode("_x").alias("_at", "_v"))
+        .groupBy("_at")
+        .agg(F.sum("weight").alias("_n"), *[F.sum(F.col(r) * F.col("_v")).alias(f"_g{k}") for k, r in enumerate(residual)])
+    )
+    # the penalty is 1/(c·n) on the mean loss and spares the intercept
+    gradients = {
+        f"gradient_class_{k}": F.col(f"_g{k}") / F.col("_n") + F.get(F.lit([0.0, *map(float, coefficients[k])]), F.col("_at")) / (F.col("_n") * c)
+        for k in classes
+    }
+    largest = F.greatest(*[F.abs(F.col(g)) for g in gradients])
+    return sums.select(F.get(F.lit(["(intercept)", *features]), F.col("_at")).alias("feature"), *[e.alias(g) for g, e in gradients.items()]).withColumns(
+        {"residual": largest, "stationary": largest <= tolerance}
+    )
+
+
 def save_model(model, path: str) -> str:
     model.write().overwrite().save(path)
     return path
