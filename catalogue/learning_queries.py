@@ -13,6 +13,7 @@ from catalogue.base import (
     prepared,
     query,
     split_features,
+    written,
 )
 from catalogue.model_sql import NUMERIC
 from riskloom.functions.scalars import flag
@@ -143,7 +144,9 @@ def feature_catalog(star):
 def full_feature_catalog(star):
     table = features(star)
     numeric, categorical = L.select_features(table)
-    return L.feature_catalog(table, numeric, categorical, [c for c in table.columns if c not in labelled(star).columns])
+    # Only the names of the labelled columns are needed: the plan gives them without writing that stage.
+    base = written(star).labelled().columns
+    return L.feature_catalog(table, numeric, categorical, [c for c in table.columns if c not in base])
 
 
 # --- classifiers -------------------------------------------------------------------
