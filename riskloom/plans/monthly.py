@@ -48,6 +48,10 @@ def customer_product_monthly(sales: DataFrame) -> DataFrame:
     """
     keys = ["year_month", "customer_id", "product_id", "region_id"]
     labels = ["customer_segment", "churn_risk_band"]
+    # One exchange by the key: every later aggregate groups by the key or a superset of it.
+    sales = sales.select(
+        *keys, "transaction_id", *labels, "units_sold", "revenue", "avg_discount_pct", "gross_profit_eur"
+    ).repartition(*keys)
     per_order = sales.groupBy(*keys, "transaction_id").agg(
         F.sum("units_sold").alias("units_sold"),
         F.sum("revenue").alias("revenue"),

@@ -183,3 +183,18 @@ def test_varying_labels_keep_one_row_per_key(spark):
     assert (got[None].customer_segment, got[None].churn_risk_band, got[None].order_count) == ("Unknown", "Unknown", 1)
     mix = mo.customer_month_features(sales, "A", ["year_month", "product_id", "region_id"]).first()
     assert mix.enterprise_customer_count == 1 and mix.avg_customer_size_score == 1.0
+
+
+def test_customer_months_exchange_sales_by_key_only(spark):
+    from riskloom.plans import monthly as mo
+
+    columns = "year_month string, customer_id int, product_id string, region_id int, transaction_id int, units_sold double, revenue double, avg_discount_pct double, gross_profit_eur double, customer_segment string, churn_risk_band string"
+    sales = spark.createDataFrame([("m", 1, "p", 1, 10, 1.0, 5.0, 0.1, 1.0, "A", "High")], columns)
+    previous = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = mo.customer_product_monthly(sales)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", previous)
+    # the sales rows once per branch by the key, and the two sides of the null-safe join
+    assert plan.count("Exchange ") <= 4
