@@ -84,11 +84,8 @@ def _stage(star: Star, label: str, build: Callable[[], DataFrame]) -> DataFrame:
 
 
 def written(star: Star) -> Star:
-    """The star with canonical sales and the monthly base written."""
-    copy = Star(star.spark, star.directory)
-    copy.__dict__["sales"] = _stage(star, "sales", lambda: star.sales)
-    copy.__dict__["monthly_base"] = _stage(star, "monthly-base", lambda: copy.monthly_base)
-    return copy
+    """The star with its order lines, representatives and monthly base written once, when first read."""
+    return star.written(lambda df, label: _stage(star, label, lambda: df))
 
 
 def panel(star: Star) -> DataFrame:
@@ -100,7 +97,8 @@ def labelled(star: Star) -> DataFrame:
 
 
 def customer_months(star: Star) -> DataFrame:
-    return _stage(star, "customer-months", lambda: customer_product_monthly(written(star).sales))
+    """Not written: its readers take a few sums by panel key from as many rows as sales has."""
+    return customer_product_monthly(written(star).sales)
 
 
 def features(star: Star) -> DataFrame:

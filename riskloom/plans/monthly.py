@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.scalars import contains_any, flag, safe_divide
 from riskloom.functions.cleaning import unknown_if_null
 from riskloom.operators.quantiles import exact_medians
+from riskloom.session import dealt
 
 PANEL_KEYS = ["product_id", "region_id", "year_month"]
 
@@ -42,48 +43,49 @@ def _modal_labels(df: DataFrame, keys: Sequence[str], labels: Sequence[str]) ->
 def customer_product_monthly(sales: DataFrame) -> DataFrame:
     """Customer × product × region × month; rows with null keys form groups of their own.
 
-    Orders are first reduced to one row inside their group, so counting them
-    needs no distinct aggregate. Segment and churn band are the group's most
-    frequent labels, so a key has one row even where its labels vary.
+    Segment and churn band are the group's most frequent labels, so a key has
+    one row even where its labels vary. Rows are exchanged once, by the key;
+    counting orders and labels inside a key needs no further exchange.
     """
     keys = ["year_month", "customer_id", "product_id", "region_id"]
     labels = ["customer_segment", "churn_risk_band"]
-    # One exchange by the key: every later aggregate groups by the key or a superset of it.
-    sales = sales.select(
-        *keys, "transaction_id", *labels, "units_sold", "revenue", "avg_discount_pct", "gross_profit_eur"
-    ).repartition(*keys)
-    per_order = sales.groupBy(*keys, "transaction_id").agg(
-        F.sum("units_sold").alias("units_sold"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("avg_discount_pct").alias("_discounts"),
-        F.count("avg_discount_pct").alias("_discount_rows"),
-        F.sum("gross_profit_eur").alias("gross_profit_eur"),
-    )
-    measures = per_order.groupBy(*keys).agg(
-        F.sum("units_sold").alias("units_sold"),
-        F.sum("revenue").alias("revenue"),
-        F.count("transaction_id").alias("order_count"),
-        safe_divide(F.sum("_discounts"), F.sum("_discount_rows")).alias("avg_discount_pct"),
-        F.sum("gross_profit_eur").alias("gross_profit_eur"),
+    measures = ["units_sold", "revenue", "avg_discount_pct", "gross_profit_eur"]
+    return (
+        dealt(sales.select(*keys, "transaction_id", *labels, *measures), *keys)
+        .groupBy(*keys)
+        .agg(
+            F.sum("units_sold").alias("units_sold"),
+            F.sum("revenue").alias("revenue"),
+            F.count_distinct("transaction_id").alias("order_count"),
+            F.avg("avg_discount_pct").alias("avg_discount_pct"),
+            F.sum("gross_profit_eur").alias("gross_profit_eur"),
+            *[most_common(c).alias(c) for c in labels],
+        )
     )
-    modes = _modal_labels(sales, keys, labels).select(*[F.col(k).alias(f"_{k}") for k in keys], *labels)
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return measures.join(modes, same, "left").drop(*[f"_{k}" for k in keys])
 
 
-def monthly_sales(sales: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+# Distinct counts of ``monthly_sales``: output: column.
+DISTINCT_COUNTS = {"unique_customers": "customer_id", "order_count": "transaction_id", "active_sales_reps": "sales_rep_id"}
+
+# Dominant labels of ``monthly_sales``: output: column.
+DOMINANT_LABELS = {
+    "dominant_margin_category": "margin_category", "dominant_order_size_category": "order_size_category",
+    "dominant_rep_seniority": "seniority",
+}
+
+
+def monthly_sales(sales: DataFrame, keys: Sequence[str] = PANEL_KEYS, counted: Sequence[DataFrame] = ()) -> DataFrame:
     """Product × region × month sales: sums, distinct counts, means, flag sums, dominant labels.
 
-    Distinct counts are a separate aggregate: in one aggregate with the others
-    Spark would repeat every measure once per distinct column. Both sides end
-    partitioned by ``keys``, so joining them needs no further exchange.
+    Every distinct count is an aggregate of its own over its key and column: in
+    one aggregate Spark would repeat each row once per distinct column before
+    the exchange. Labels are counted first and compared after, as a mode over
+    rows would sort a scan's rows. All sides end partitioned by ``keys``, so
+    joining them needs no further exchange. ``counted`` has tables by ``keys``
+    that already hold distinct counts (a key they lack counts 0); their other
+    columns come last.
     """
     known = _known(sales, keys)
-    distinct = known.groupBy(*keys).agg(
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("transaction_id").alias("order_count"),
-        F.count_distinct("sales_rep_id").alias("active_sales_reps"),
-    )
     measures = known.groupBy(*keys).agg(
         F.sum("units_sold").alias("units_sold"),
         F.sum("revenue").alias("revenue"),
@@ -96,25 +98,36 @@ def monthly_sales(sales: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFra
         F.sum("missing_sales_rep_flag").alias("missing_sales_rep_count"),
         F.sum("missing_discount_flag").alias("missing_discount_count"),
         F.sum("missing_margin_flag").alias("missing_margin_count"),
-        most_common("margin_category").alias("dominant_margin_category"),
-        most_common("order_size_category").alias("dominant_order_size_category"),
-        most_common("seniority").alias("dominant_rep_seniority"),
     )
-    return measures.join(distinct, list(keys)).withColumn(
-        "gross_margin_pct", safe_divide("gross_profit_eur", "revenue")
+    labels = _modal_labels(known, keys, list(DOMINANT_LABELS.values())).withColumnsRenamed(
+        {c: n for n, c in DOMINANT_LABELS.items()}
+    )
+    held = [c for t in counted for c in t.columns if c not in keys]
+    extra = [c for c in held if c not in DISTINCT_COUNTS]
+    counts = [
+        known.groupBy(*keys).agg(F.count_distinct(c).alias(n)) for n, c in DISTINCT_COUNTS.items() if n not in held
+    ]
+    joined = measures
+    for table in [labels, *counts, *counted]:
+        joined = joined.join(table, list(keys), "left")
+    return joined.select(
+        *measures.columns,
+        *DOMINANT_LABELS,
+        *[F.coalesce(n, F.lit(0)).alias(n) for n in DISTINCT_COUNTS],
+        safe_divide("gross_profit_eur", "revenue").alias("gross_margin_pct"),
+        *extra,
     )
 
 
-def customer_month_features(
-    sales: DataFrame, enterprise: str = "Enterprise", keys: Sequence[str] = PANEL_KEYS
-) -> DataFrame:
-    """Customer mix with each customer counted once per group-month."""
+def customer_counts(sales: DataFrame, enterprise: str = "Enterprise", keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+    """Number and mix of the customers of a group-month, each customer counted once."""
     attrs = ["customer_segment", "churn_risk_band", "customer_size_score", "base_churn_probability"]
-    # distinct rows first, which combine before the exchange; a customer whose attributes
-    # vary within a group-month then counts once, by the smallest row of attributes
-    distinct = _known(sales, keys).select(*keys, "customer_id", *attrs).distinct()
-    once = distinct.groupBy(*keys, "customer_id").agg(F.min(F.struct(*attrs)).alias("_row")).select(*keys, "customer_id", "_row.*")
+    # dealt before they are reduced: the smallest row of attributes, by which a customer counts
+    # where they vary, is found by sorting, which would spill on the larger inputs of a scan
+    rows = dealt(_known(sales, keys).select(*keys, "customer_id", *attrs), *keys, "customer_id")
+    once = rows.groupBy(*keys, "customer_id").agg(F.min(F.struct(*attrs)).alias("_row")).select(*keys, "customer_id", "_row.*")
     return once.groupBy(*keys).agg(
+        F.count("customer_id").alias("unique_customers"),
         F.avg("customer_size_score").alias("avg_customer_size_score"),
         F.avg("base_churn_probability").alias("avg_base_churn_probability"),
         F.sum(flag(F.col("customer_segment") == enterprise)).alias("enterprise_customer_count"),
@@ -122,31 +135,46 @@ def customer_month_features(
     )
 
 
-def quota_month(sales: DataFrame, reps: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
-    """Annual quota of the representatives active in a group-month, each counted once.
+def customer_month_features(
+    sales: DataFrame, enterprise: str = "Enterprise", keys: Sequence[str] = PANEL_KEYS
+) -> DataFrame:
+    """Customer mix with each customer counted once per group-month."""
+    return customer_counts(sales, enterprise, keys).drop("unique_customers")
+
+
+def rep_counts(sales: DataFrame, reps: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+    """Number and annual quota of the representatives active in a group-month, each counted once.
 
     Pairs are made distinct before the quota is looked up, so the lookup joins
     the small side of the aggregation.
     """
     active = _known(sales, [*keys, "sales_rep_id"]).select(*keys, "sales_rep_id").distinct()
+    quotas = reps.groupBy("sales_rep_id").agg(F.sum("annual_quota_eur").alias("annual_quota_eur"))
     return (
-        active.join(reps.select("sales_rep_id", "annual_quota_eur"), "sales_rep_id", "left")
+        active.join(quotas, "sales_rep_id", "left")
         .groupBy(*keys)
-        .agg(F.coalesce(F.sum("annual_quota_eur"), F.lit(0.0)).alias("covered_annual_quota_eur"))
+        .agg(
+            F.count(F.lit(1)).alias("active_sales_reps"),
+            F.coalesce(F.sum("annual_quota_eur"), F.lit(0.0)).alias("covered_annual_quota_eur"),
+        )
     )
 
 
-def sales_by_panel_key(sales: DataFrame, reps: DataFrame, enterprise: str = "Enterprise") -> DataFrame:
+def quota_month(sales: DataFrame, reps: DataFrame, keys: Sequence[str] = PANEL_KEYS) -> DataFrame:
+    """Annual quota of the representatives active in a group-month, each counted once."""
+    return rep_counts(sales, reps, keys).drop("active_sales_reps")
+
+
+def sales_by_panel_key(
+    sales: DataFrame, reps: DataFrame, enterprise: str = "Enterprise", counted: Sequence[DataFrame] = ()
+) -> DataFrame:
     """Everything sales contributes to the panel.
 
     Sums, customer mix and quota share the panel key, so after their own
-    aggregations the joins need no further exchange.
+    aggregations the joins need no further exchange. The tables of customers and
+    representatives also hold the number of each; ``counted`` may hold others.
     """
-    return (
-        monthly_sales(sales)
-        .join(customer_month_features(sales, enterprise), PANEL_KEYS, "left")
-        .join(quota_month(sales, reps), PANEL_KEYS, "left")
-    )
+    return monthly_sales(sales, counted=[*counted, customer_counts(sales, enterprise), rep_counts(sales, reps)])
 
 
 def inventory_monthly(inventory: DataFrame) -> DataFrame:
@@ -171,15 +199,13 @@ def cost_monthly(costs: DataFrame) -> DataFrame:
 
 
 def returns_monthly(returns: DataFrame) -> DataFrame:
-    return (
-        _known(returns, PANEL_KEYS)
-        .groupBy(*PANEL_KEYS)
-        .agg(
-            F.sum("return_units").alias("return_units"),
-            F.sum("return_value_eur").alias("return_value_eur"),
-            F.count_distinct("return_id").alias("return_count"),
-        )
+    """Returned units, value and distinct returns per panel key; the count travels without the sums."""
+    groups = _known(returns, PANEL_KEYS).groupBy(*PANEL_KEYS)
+    sums = groups.agg(
+        F.sum("return_units").alias("return_units"),
+        F.sum("return_value_eur").alias("return_value_eur"),
     )
+    return sums.join(groups.agg(F.count_distinct("return_id").alias("return_count")), PANEL_KEYS)
 
 
 def crm_region_month(crm: DataFrame, period: str = "year_month") -> DataFrame:

@@ -8,6 +8,7 @@ derived from their keys by fixed rules.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -130,11 +131,19 @@ class Star:
 
     # --- sales ----------------------------------------------------------------
 
+    @cached_property
+    def rep_levels(self) -> DataFrame:
+        """One row per representative: seniorities of all its rows, so that looking them up keeps the line count."""
+        known = self.reps.where(F.col("sales_rep_id").isNotNull())
+        return known.groupBy("sales_rep_id").agg(F.collect_list(F.coalesce("seniority", F.lit("Unknown"))).alias("rep_levels"))
+
     def order_lines(self) -> DataFrame:
-        """Line items with brand, order date, customer and region.
+        """Line items with brand, order date, customer, region and representative.
 
         Orders meet their customers first, so the fact side is shuffled once per
-        large table; columns are pruned in every scan.
+        large table; columns are pruned in every scan. Lines meet the
+        representatives first, while they are narrow, and leave in the order of
+        their order keys. Measures are left to the readers.
         """
         buyers = self.customers.select(
             "customer_id", "region_id", "customer_segment", "customer_size_score",
@@ -144,27 +153,37 @@ class Star:
             "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("order_date")
         ).join(buyers, "customer_id")
         brands = self.table("part").select("p_partkey", F.col("p_brand").alias("product_id"))
+        returned = F.col("l_returnflag") == "R"
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag",
-            "l_shipdate",
+            "l_orderkey", "l_partkey", F.when(F.col("l_suppkey") % 17 != 0, F.col("l_suppkey")).alias("sales_rep_id"),
+            "l_quantity", "l_extendedprice", "l_discount", returned.alias("returned"),
+            F.when(returned, F.col("l_shipdate").cast("date")).alias("return_date"),
         )
-        return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey")
+        return (
+            lines.join(self.rep_levels, "sales_rep_id", "left")
+            .join(brands, F.col("l_partkey") == F.col("p_partkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .drop("l_partkey", "p_partkey", "o_orderkey")
         )
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Order lines that sales and returns are read from."""
+        return self.order_lines()
+
     def raw_sales(self) -> DataFrame:
         """Order lines under the sales model's names, before staging measures."""
         price, units = F.col("l_extendedprice"), F.col("l_quantity")
         revenue = price * (1 - F.col("l_discount"))
         profit = revenue - price * 0.7
-        return self.order_lines().select(
+        return self.lines.select(
+            "sales_rep_id",
             F.col("l_orderkey").alias("transaction_id"),
             "order_date",
             D.month_start("order_date").alias("year_month"),
             "customer_id",
             "product_id",
             "region_id",
-            F.when(F.col("l_suppkey") % 17 != 0, F.col("l_suppkey")).alias("sales_rep_id"),
             units.alias("units"),
             safe_divide(price, units).alias("asp_eur"),
             F.when(F.col("l_orderkey") % 13 != 0, F.col("l_discount")).alias("discount_pct"),
@@ -177,15 +196,15 @@ class Star:
             "churn_risk_band",
             "customer_size_score",
             "base_churn_probability",
+            "rep_levels",
         )
 
     @cached_property
     def sales(self) -> DataFrame:
-        """Canonical sales with measures and representative seniority."""
-        seniority = self.reps.select("sales_rep_id", "seniority")
+        """Canonical sales with measures and representative seniority, one row per line and matching representative."""
+        measured = sales_measures(self.raw_sales())
         return (
-            sales_measures(self.raw_sales())
-            .join(seniority, "sales_rep_id", "left")
+            measured.select(*[c for c in measured.columns if c != "rep_levels"], F.explode_outer("rep_levels").alias("seniority"))
             .withColumns(
                 {
                     "seniority": F.coalesce("seniority", F.lit("Unknown")),
@@ -204,12 +223,11 @@ class Star:
 
     @cached_property
     def returns(self) -> DataFrame:
-        shipped = F.col("l_shipdate").cast("date")
-        return self.order_lines().where(F.col("l_returnflag") == "R").select(
+        return self.lines.where("returned").select(
             F.col("l_orderkey").alias("return_id"),
             F.col("l_orderkey").alias("sales_id"),
-            shipped.alias("return_date"),
-            D.month_start(shipped).alias("year_month"),
+            "return_date",
+            D.month_start("return_date").alias("year_month"),
             "product_id",
             "region_id",
             F.col("l_quantity").alias("return_units"),
@@ -294,12 +312,17 @@ class Star:
 
     @cached_property
     def monthly_base(self) -> DataFrame:
-        """Units, orders and cost per panel key; money is rounded to its stored precision."""
-        return self.sales.groupBy(*PANEL_KEYS).agg(
-            F.sum("units").alias("units"),
-            F.count_distinct("transaction_id").alias("orders"),
-            F.round(F.sum("cogs_eur"), 4).alias("cogs"),
+        """Units, orders and cost per panel key; money is rounded to its stored precision.
+
+        Orders are counted apart from the sums, so that an order travels as its key only.
+        """
+        groups = self.sales.groupBy(*PANEL_KEYS)
+        sums = groups.agg(F.sum("units").alias("units"), F.round(F.sum("cogs_eur"), 4).alias("cogs"))
+        orders = groups.agg(F.count_distinct("transaction_id").alias("orders")).select(
+            *[F.col(k).alias(f"_{k}") for k in PANEL_KEYS], "orders"
         )
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PANEL_KEYS]
+        return sums.join(orders, same).select(*PANEL_KEYS, "units", "orders", "cogs")
 
     def inventory(self, base: DataFrame | None = None) -> DataFrame:
         base = base if base is not None else self.monthly_base
@@ -375,7 +398,8 @@ class Star:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return sales_by_panel_key(self.sales, self.reps, ENTERPRISE)
+        orders = self.monthly_base.select(*PANEL_KEYS, F.col("orders").alias("order_count"))
+        return sales_by_panel_key(self.sales, self.reps, ENTERPRISE, [orders])
 
     def panel(self, monthly: DataFrame | None = None) -> DataFrame:
         """Dense panel with sales attached."""
@@ -395,16 +419,15 @@ class Star:
             "signals": market_signals_monthly(self.market_signals(base)),
         }
 
-    def written(self) -> "Star":
-        """Same model with the canonical sales written once.
+    def written(self, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> "Star":
+        """Same model with the representatives, the order lines and the monthly base written by ``keep`` when first read.
 
         The five-table join is then paid for once instead of by every aggregate
-        that reads sales.
+        that reads sales or returns; measures are computed from the narrow lines
+        as they are read. The representatives' exact size lets Spark choose how
+        to join them.
         """
-        copy = Star(self.spark, self.directory)
-        copy.__dict__["sales"] = materialize(self.sales, "sales")
-        copy.__dict__["monthly_base"] = materialize(copy.monthly_base, "monthly-base")
-        return copy
+        return _WrittenStar(self, keep)
 
     def labelled(self, base: DataFrame | None = None) -> DataFrame:
         """Panel with every source, history features and the next-month label."""
@@ -427,3 +450,25 @@ class Star:
         side = materialize_all(side_tables(panel, tables["signals"]))
         wide = add_side_tables(attach_sources(panel, tables), {**side, "mix": tables["mix"]})
         return derived_features(labelled_panel(wide))
+
+
+class _WrittenStar(Star):
+    def __init__(self, star: Star, keep: Callable[[DataFrame, str], DataFrame]):
+        super().__init__(star.spark, star.directory)
+        self._keep = keep
+
+    @cached_property
+    def reps(self) -> DataFrame:
+        return self._keep(super().reps, "reps")
+
+    @cached_property
+    def rep_levels(self) -> DataFrame:
+        return self._keep(super().rep_levels, "rep-levels")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._keep(super().lines, "lines")
+
+    @cached_property
+    def monthly_base(self) -> DataFrame:
+        return self._keep(super().monthly_base, "monthly-base")
